@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskspark.plans import site_oracle, site_queries
+from riskspark.plans import site_oracle, site_queries, text_oracle, text_queries
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -37,10 +37,25 @@ _SITE_KEYS = (
     "importance_drivers",
 )
 
+_TEXT_KEYS = (
+    "doc_chunks",
+    "chunk_dedup",
+    "term_stats",
+    "tfidf_weights",
+    "search_topk",
+    "citations",
+    "prompt_build",
+    "evidence_answer",
+    "risk_report",
+)
+
 
 def queries() -> dict[str, Query]:
-    return {k: getattr(site_queries, k) for k in _SITE_KEYS}
+    return {
+        **{k: getattr(site_queries, k) for k in _SITE_KEYS},
+        **{k: getattr(text_queries, k) for k in _TEXT_KEYS},
+    }
 
 
 def oracle_sql() -> dict[str, str]:
-    return site_oracle.oracle_sql()
+    return {**site_oracle.oracle_sql(), **text_oracle.oracle_sql()}
