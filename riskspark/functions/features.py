@@ -55,9 +55,9 @@ def base_features(df: DataFrame) -> DataFrame:
     )
 
 
-def dose_equation() -> Column:
-    """Noise-free dose rate from the model columns; an exact scorer."""
-    dose = (
+def dose_sum() -> Column:
+    """The terms of the dose equation before its floor."""
+    return (
         F.lit(S.DOSE_CONSTANT)
         + c("contamination_bq_m2")
         * S.DOSE_PER_CONTAMINATION
@@ -68,7 +68,11 @@ def dose_equation() -> Column:
         + c("spatial_lat_lon_interaction") * S.DOSE_PER_SPATIAL
         + c("elevation_m") * S.DOSE_PER_ELEVATION
     )
-    return clip(dose, S.DOSE_FLOOR, None)
+
+
+def dose_equation() -> Column:
+    """Noise-free dose rate from the model columns; an exact scorer."""
+    return clip(dose_sum(), S.DOSE_FLOOR, None)
 
 
 def equation_scorer(df: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskspark.plans import site_oracle, site_queries, text_oracle, text_queries
+from riskspark.plans import model_queries, site_oracle, site_queries, stream_oracle, stream_queries, text_oracle, text_queries
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -49,13 +49,30 @@ _TEXT_KEYS = (
     "risk_report",
 )
 
+_MODEL_KEYS = (
+    "ridge_loo",
+    "forest_train_score",
+    "extra_trees_cv",
+    "leaderboard",
+    "synthetic_sites",
+    "tree_shap",
+)
+
+_STREAM_KEYS = ("stream_scoring", "stream_ingest", "rate_limit_audit", "rate_limit_stream")
+
 
 def queries() -> dict[str, Query]:
     return {
         **{k: getattr(site_queries, k) for k in _SITE_KEYS},
         **{k: getattr(text_queries, k) for k in _TEXT_KEYS},
+        **{k: getattr(model_queries, k) for k in _MODEL_KEYS},
+        **{k: getattr(stream_queries, k) for k in _STREAM_KEYS},
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {**site_oracle.oracle_sql(), **text_oracle.oracle_sql()}
+    return {
+        **site_oracle.oracle_sql(),
+        **text_oracle.oracle_sql(),
+        **stream_oracle.oracle_sql(),
+    }

@@ -148,11 +148,10 @@ def page_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def questions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Benchmark texts as questions, each also once as blank and once as unknown words."""
-    items = parquet_table(spark, sf_dir, "benchmark").select(
+    """Benchmark texts as questions."""
+    return parquet_table(spark, sf_dir, "benchmark").select(
         c("item_id").alias("query_id"), c("text").alias("question")
     )
-    return items
 
 
 def questions_with_misses(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -168,12 +167,16 @@ def questions_with_misses(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def request_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+def as_request_log(events: DataFrame) -> DataFrame:
     """Events as an access log: who called which path, when."""
-    return parquet_table(spark, sf_dir, "events").select(
+    return events.select(
         c("event_id").alias("request_id"),
         c("user_id").cast("string").alias("client"),
         c("event_type").alias("path"),
         F.lit("GET").alias("method"),
         c("ts").cast("timestamp").alias("ts"),
     )
+
+
+def request_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return as_request_log(parquet_table(spark, sf_dir, "events"))
