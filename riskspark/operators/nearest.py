@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskspark.functions.geo import mercator_x, mercator_y, segment_distance
-from riskspark.operators.joins import fits_broadcast
+from riskspark.operators.joins import BROADCAST_ROWS
 from riskspark.session import materialize
 
 c = F.col
@@ -60,36 +60,43 @@ def _children(cells: DataFrame) -> DataFrame:
     )
 
 
-def _maybe_broadcast(df: DataFrame) -> DataFrame:
-    return F.broadcast(df) if fits_broadcast(df) else df
+def _small(df: DataFrame, rows: int) -> DataFrame:
+    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
 
 
 def _grow_tree(segments: DataFrame, x0: float, y0: float, side: float):
-    """Split crowded cells until none is left: (cells per level, segments per leaf)."""
+    """Split crowded cells until none is left.
+
+    Returns per level below the root its cells and the number of their
+    parents, and the segments per leaf with their number.
+    """
     zero = F.lit(0).cast("long")
     pieces = segments.withColumns({"level": F.lit(0), "cx": zero, "cy": zero})
-    levels, leaves = [], []
+    levels, leaves, leaf_rows, parents = [], None, 0, 0
     for level in range(MAX_LEVEL + 1):
-        cells = materialize(
-            pieces.groupBy(*CELL)
-            .agg(F.count("*").alias("n"))
-            .select(*CELL, ((c("n") > CROWDED) & F.lit(level < MAX_LEVEL)).alias("inner")),
-            f"cells{level}",
-        )
-        levels.append(cells)
-        crowded = _maybe_broadcast(cells.where("inner").select(*CELL))
-        if cells.where("inner").isEmpty():
-            leaves.append(pieces)
-            break
-        leaves.append(pieces.join(crowded, CELL, "left_anti"))
+        counted = pieces.groupBy(*CELL).agg(F.count("*").alias("n"))
+        cells = materialize(counted, f"cells{level}")
+        crowded_cell = (c("n") > CROWDED) & F.lit(level < MAX_LEVEL)
+        crowded, settled = cells.agg(
+            F.count_if(crowded_cell), F.coalesce(F.sum(F.when(~crowded_cell, c("n"))), F.lit(0))
+        ).first()
+        if level:
+            levels.append((cells.select(*CELL), parents))
+        leaf_rows += settled
+        inner = _small(cells.where(crowded_cell).select(*CELL), crowded)
+        done = pieces.join(inner, CELL, "left_anti") if crowded else pieces
+        leaves = done if leaves is None else leaves.unionByName(done)
+        if not crowded:
+            return levels, leaves, leaf_rows
         size = side / FAN ** (level + 1)
         pieces = materialize(
-            _children(pieces.join(crowded, CELL, "left_semi")).where(
+            _children(pieces.join(inner, CELL, "left_semi")).where(
                 _cell_of_segment(size, x0, y0)
             ),
             f"pieces{level}",
         )
-    return levels, leaves
+        parents = crowded
+    raise AssertionError("the last level has no crowded cells")
 
 
 def _box_bounds(side: float, x0: float, y0: float) -> tuple[Column, Column]:
@@ -132,11 +139,10 @@ def nearest_distance_km(
         return points.withColumn(out, F.lit(0.0))
     x0, y0 = ends[0], ends[1]
     side = max(ends[2] - x0, ends[3] - y0, 1.0)
-    levels, leaves = _grow_tree(segments, x0, y0, side)
+    levels, pieces, n_pieces = _grow_tree(segments, x0, y0, side)
 
     spread = points.repartition(key)
     zero = F.lit(0).cast("long")
-    root_inner = len(levels) > 1
     front = (
         spread.select(key, mercator_x(c(lon)).alias("px"), mercator_y(c(lat)).alias("py"))
         .where("px is not null and py is not null and abs(py) < double('infinity')")
@@ -144,7 +150,7 @@ def nearest_distance_km(
     )
     near, far = _box_bounds(side, x0, y0)
     best = F.min("far").over(Window.partitionBy(key))
-    for cells in levels[1:] if root_inner else ():
+    for cells, parents in levels:
         kids = cells.groupBy(
             (c("level") - 1).alias("level"),
             F.floor(c("cx") / FAN).alias("cx"),
@@ -152,19 +158,16 @@ def nearest_distance_km(
         ).agg(F.collect_list(F.struct(*CELL)).alias("kids"))
         itself = F.array(F.struct(*CELL))
         front = (
-            front.join(_maybe_broadcast(kids), CELL, "left")
+            front.join(_small(kids, parents), CELL, "left")
             .select(key, "px", "py", F.inline(F.coalesce("kids", itself)))
             .withColumns({"near": near, "far": far})
             .withColumn("best", best)
             .where(c("near") <= c("best") * (1 + 1e-9) + side * 1e-9)
             .select(key, "px", "py", *CELL)
         )
-    pieces = leaves[0]
-    for more in leaves[1:]:
-        pieces = pieces.unionByName(more)
     distance = segment_distance(c("px"), c("py"), c("x1"), c("y1"), c("x2"), c("y2"))
     found = (
-        front.join(_maybe_broadcast(pieces), CELL)
+        front.join(_small(pieces, n_pieces), CELL)
         .groupBy(key)
         .agg((F.min(distance) / 1000.0).alias(out))
     )

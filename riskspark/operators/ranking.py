@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
+from typing import Any
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -52,34 +54,100 @@ def global_rank(
     return ranked.drop("_part", "_pos", "_offset", "_total")
 
 
-def hash_order(key: str, seed: int) -> list[Column]:
-    """A seeded shuffle order that does not depend on partitioning."""
-    return [F.md5(F.concat_ws("|", c(key).cast("string"), F.lit(str(seed)))), c(key)]
+def shuffle_hash(key: str, seed: int) -> Column:
+    """A seeded hash that orders rows alike however they are partitioned."""
+    return F.md5(F.concat_ws("|", c(key).cast("string"), F.lit(str(seed))))
+
+
+def hash_cutoffs(
+    df: DataFrame, key: str, seed: int, ranks: Sequence[int], leaf_rows: int = 100_000
+) -> list[tuple[str, Any]]:
+    """The (hash, key) of the rows at the given 0-based ranks in hash order.
+
+    Ranks are narrowed down by counting hash prefixes, so nothing is sorted
+    or shuffled but a few thousand counts per pass, and three passes reach
+    any row of a trillion. ``df`` should be a stored table.
+    """
+    hashed = df.select(key, shuffle_hash(key, seed).alias("_h"))
+    open_ranks = {rank: ("", rank) for rank in ranks}  # rank -> (prefix, rank below prefix)
+    small: dict[str, int] = {}
+    width = 0
+    while any(prefix not in small for prefix, _ in open_ranks.values()):
+        width += 3
+        prefixes = {prefix for prefix, _ in open_ranks.values() if prefix not in small}
+        level = hashed.where(c("_h").substr(1, width - 3).isin(*prefixes))
+        counted = level.groupBy(c("_h").substr(1, width).alias("p")).count().collect()
+        by_parent: dict[str, list] = {}
+        for row in sorted(counted, key=lambda r: r["p"]):
+            by_parent.setdefault(row["p"][: width - 3], []).append((row["p"], row["count"]))
+        for rank, (prefix, below) in open_ranks.items():
+            if prefix in small:
+                continue
+            for child, n in by_parent[prefix]:
+                if below < n:
+                    open_ranks[rank] = (child, below)
+                    if n <= leaf_rows:
+                        small[child] = n
+                    break
+                below -= n
+    found: dict[str, list] = {}
+    for size in sorted({len(p) for p in small}):
+        wanted = [p for p in small if len(p) == size]
+        rows = hashed.where(c("_h").substr(1, size).isin(*wanted)).collect()
+        for row in rows:
+            found.setdefault(row["_h"][:size], []).append((row["_h"], row[key]))
+    return [sorted(found[prefix])[below] for prefix, below in (open_ranks[r] for r in ranks)]
+
+
+def _after(key: str, seed: int, cutoff: tuple[str, Any]) -> Column:
+    """Whether a row comes at or after a cutoff in hash order."""
+    h = shuffle_hash(key, seed)
+    return (h > cutoff[0]) | ((h == cutoff[0]) & (c(key) >= cutoff[1]))
 
 
 def holdout_split(
     df: DataFrame, key: str, share: float = S.TEST_SHARE, seed: int = S.SEED
 ) -> DataFrame:
-    """Add ``is_test``: exactly ceil(share * rows) rows, chosen by seeded hash."""
-    ranked = global_rank(df, hash_order(key, seed), "_rank", "_rows")
-    return ranked.withColumn("is_test", c("_rank") < F.ceil(c("_rows") * share)).drop(
-        "_rank", "_rows"
-    )
+    """Add ``is_test``: exactly ceil(share * rows) rows, the first in hash order.
+
+    ``df`` should be a stored table with a unique key.
+    """
+    rows = df.count()
+    n_test = math.ceil(rows * share)
+    if n_test in (0, rows):
+        return df.withColumn("is_test", F.lit(n_test > 0))
+    (cutoff,) = hash_cutoffs(df, key, seed, [n_test])
+    return df.withColumn("is_test", ~_after(key, seed, cutoff))
 
 
 def shuffled_folds(
     df: DataFrame, key: str, splits: int = S.CV_SPLITS, seed: int = S.SEED
 ) -> DataFrame:
-    """Add ``fold``: min(splits, rows) even folds, the first ones one row larger."""
-    ranked = global_rank(df, hash_order(key, seed), "_rank", "_rows")
-    folds = F.least(F.lit(splits), c("_rows"))
-    base = F.expr(f"_rows div least({splits}, _rows)")
-    extra = c("_rows") % folds
-    head = extra * (base + 1)
-    fold = F.when(c("_rank") < head, F.floor(c("_rank") / (base + 1))).otherwise(
-        extra + F.floor((c("_rank") - head) / F.greatest(base, F.lit(1)))
-    )
-    return ranked.withColumn("fold", fold.cast("int")).drop("_rank", "_rows")
+    """Add ``fold``: min(splits, rows) even folds in hash order, the first ones one row larger.
+
+    ``df`` should be a stored table with a unique key.
+    """
+    rows = df.count()
+    splits = min(splits, rows)
+    base, extra = divmod(rows, splits)
+    starts = [fold * base + min(fold, extra) for fold in range(1, splits)]
+    fold = F.lit(0)
+    for cutoff in hash_cutoffs(df, key, seed, starts):
+        fold = fold + _after(key, seed, cutoff).cast("int")
+    return df.withColumn("fold", fold)
+
+
+def at_least_top(df: DataFrame, measure: str, k: int) -> DataFrame:
+    """Rows whose whole-number ``measure`` is among the ``k`` largest, ties included.
+
+    The cut-off comes from the histogram of the measure; a histogram of N
+    counts that sum up to M has at most sqrt(2 M) entries.
+    """
+    histogram = df.groupBy(measure).agg(F.count("*").alias("_n"))
+    above = Window.orderBy(c(measure).desc()).rowsBetween(Window.unboundedPreceding, -1)
+    reached = histogram.withColumn("_above", F.coalesce(F.sum("_n").over(above), F.lit(0)))
+    cutoff = reached.where(c("_above") < k).agg(F.min(measure).alias("cutoff"))
+    return df.where(c(measure) >= cutoff.scalar())
 
 
 def top_rows(df: DataFrame, order: Sequence[Column], k: int, key: str) -> DataFrame:

@@ -237,7 +237,7 @@ g AS (
 
 
 def oracle_sql() -> dict[str, str]:
-    model = ", ".join(f"round({n}, 8) AS {n}" for n in S.MODEL_COLUMNS)
+    model = cols(S.MODEL_COLUMNS, 8)
     dirty = ["latitude", "longitude", "clay_fraction_0_30", "organic_carbon_b0",
              "slope_deg_final", "elevation_m", "cs137_kBq_m2", "sr90_kBq_m2"]
     env_plus = [n for n in S.feature_set("env_plus").features if n != S.RATIO]
@@ -255,10 +255,10 @@ def oracle_sql() -> dict[str, str]:
         f"({n} - (SELECT avg({n}) FROM feat)) / (SELECT stddev_pop({n}) FROM feat) AS {n}"
         for n in S.MODEL_COLUMNS
     )
-    vector = ", ".join(f"round({n}, 8)" for n in S.BASE_COLUMNS)
+    vector = ", ".join(half_up(n, 8) for n in S.BASE_COLUMNS)
     return {
         "site_dose_risk": f"""WITH {SCORED}
-            SELECT site_id, round(dose, 8) AS dose,
+            SELECT site_id, {half_up('dose', 8)} AS dose,
               {half_up('dose', 4)} AS dose_rate_usv_h,
               {band(1)} AS risk_level, {band(2)} AS advisory FROM scored""",
         "site_features": f"""WITH {SITES}, {features('sites', 'feat')}

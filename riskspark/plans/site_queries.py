@@ -46,13 +46,13 @@ def _rounded(names, places: int = 6) -> list:
 
 def site_dose_risk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify(_scored(spark, sf_dir)).select(
-        "site_id", F.round("dose", 8).alias("dose"), S.TARGET, "risk_level", "advisory"
+        "site_id", half_up(c("dose"), 8).alias("dose"), S.TARGET, "risk_level", "advisory"
     )
 
 
 def site_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     features = base_features(fixtures.sites(spark, sf_dir))
-    return features.select("site_id", *(F.round(n, 8).alias(n) for n in S.MODEL_COLUMNS))
+    return features.select("site_id", *_rounded(S.MODEL_COLUMNS, 8))
 
 
 def coerce_and_clip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -184,7 +184,7 @@ def feature_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def holdout_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _measured(spark, sf_dir).select("site_id", "target", "prediction")
-    split = ranking.holdout_split(rows.dropna(), "site_id")
+    split = ranking.holdout_split(materialize(rows.dropna(), "measured"), "site_id")
     return split.groupBy("is_test").agg(*stats.regression_metrics()).select(
         "is_test", "n", *_rounded(["mae", "rmse", "r2"])
     )
@@ -225,7 +225,7 @@ def cv_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def median_impute(spark: SparkSession, sf_dir: str) -> DataFrame:
-    features = base_features(fixtures.sites(spark, sf_dir))
+    features = materialize(base_features(fixtures.sites(spark, sf_dir)), "features")
     medians = stats.exact_medians(features, S.MODEL_COLUMNS)
     return stats.impute(features, medians).select("site_id", *_rounded(S.MODEL_COLUMNS))
 

@@ -20,6 +20,7 @@ def local_session(cores: str | int = "*", **conf: str) -> SparkSession:
         .config("spark.driver.memory", os.environ.get("RISKSPARK_DRIVER_MEMORY", "12g"))
         .config("spark.ui.enabled", "false")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for key, value in conf.items():
         builder = builder.config(key, value)
