@@ -48,7 +48,10 @@ def covers(df: DataFrame, feature_set: str, target: str = S.REAL_TARGET) -> bool
 
 
 def upload_listing(spark: SparkSession, path: str) -> DataFrame:
-    """Files below ``path`` as ``name, size``; file content is never read."""
+    """Files below ``path`` as ``name, size``; file content is never read.
+
+    Spark lists no empty files, so those are never offered for admission.
+    """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
     return files.select(
         F.regexp_extract("path", r"([^/]*)$", 1).alias("name"), F.col("length").alias("size")
