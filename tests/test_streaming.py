@@ -1,0 +1,114 @@
+import random
+from collections import deque
+from datetime import datetime, timedelta, timezone
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from riskspark import schema as S
+from riskspark.operators import rate_limit, search
+from riskspark.operators.chunking import balanced_chunks
+from riskspark.operators.search import build_index
+from riskspark.session import materialize
+from riskspark.streaming.ingest import ingest_stream, open_index, page_stream
+from riskspark.streaming.rate_limit import audit_stream
+from riskspark.streaming.scoring import score_stream, site_stream
+
+START = datetime(2024, 1, 1, tzinfo=timezone.utc)
+LOG = "request_id long, client string, path string, method string, ts timestamp"
+
+
+def plain_limiter(rows, window, limits, default):
+    hits, verdicts = {}, {}
+    for rid, client, path, method, ts in sorted(rows, key=lambda r: (r[4], r[0])):
+        if method == "OPTIONS" or path == "/health":
+            continue
+        log = hits.setdefault((client, path), deque())
+        while log and log[0] < ts - timedelta(seconds=window):
+            log.popleft()
+        verdicts[rid] = len(log) < limits.get(path, default)
+        if verdicts[rid]:
+            log.append(ts)
+    return verdicts
+
+
+def make_log(n, seed, hot=0.5, step=1.5):
+    rng = random.Random(seed)
+    rows, now = [], START
+    for i in range(n):
+        now += timedelta(seconds=rng.choice([0, 0.25, step]))
+        client = "hot" if rng.random() < hot else f"c{rng.randint(0, 4)}"
+        path = rng.choice(["/ml/train", "/rag/ask", "/health"])
+        method = "OPTIONS" if rng.random() < 0.05 else "POST"
+        rows.append((i, client, path, method, now))
+    return rows
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_audit_equals_plain_limiter(spark, seed):
+    """Eight sorted partitions, one key across several of them, no quiet gaps."""
+    rows = make_log(3000, seed)
+    got = rate_limit.audit(spark.createDataFrame(rows, LOG))
+    verdicts = {r["request_id"]: r["accepted"] for r in got.collect()}
+    expected = plain_limiter(rows, 60, S.RATE_LIMIT_BY_PATH, S.RATE_LIMIT)
+    assert verdicts == expected and not all(expected.values())
+
+
+def test_one_key_in_every_partition(spark):
+    """Verdicts that never forget their start still settle to the sequential ones."""
+    rows = [(i, "hot", "/x", "GET", START + timedelta(seconds=i)) for i in range(2000)]
+    got = rate_limit.audit(spark.createDataFrame(rows, LOG), 60, F.lit(7).cast("long"))
+    verdicts = {r["request_id"]: r["accepted"] for r in got.collect()}
+    assert verdicts == plain_limiter(rows, 60, {}, 7)
+
+
+def test_admit_keeps_hits_at_the_window_edge():
+    recent = []
+    times = np.array([0, 10, 20, 60, 61, 71])
+    assert rate_limit.admit(times, 2, 60, recent).tolist() == [True, True, False, False, True, True]
+    assert recent == [61, 71]
+
+
+def test_stream_audit_over_two_drops(spark, tmp_path):
+    rows = make_log(1200, 9)
+    source, sink, state = (str(tmp_path / n) for n in ("in", "out", "state"))
+    schema = spark.createDataFrame([], LOG).schema
+    for half in (rows[:600], rows[600:]):
+        spark.createDataFrame(half, LOG).coalesce(1).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(schema).parquet(source)
+        audit_stream(stream, sink, state).awaitTermination()
+    verdicts = {r["request_id"]: r["accepted"] for r in spark.read.parquet(sink).collect()}
+    assert verdicts == plain_limiter(rows, 60, S.RATE_LIMIT_BY_PATH, S.RATE_LIMIT)
+
+
+def test_scoring_stream_goes_on_from_its_checkpoint(spark, tmp_path):
+    source, sink, state = (str(tmp_path / n) for n in ("in", "out", "state"))
+    for i in range(2):
+        row = (i, *S.BASE_DEFAULTS.values())
+        spark.createDataFrame([row], S.SITE_SCHEMA).coalesce(1).write.mode("append").parquet(source)
+        score_stream(site_stream(spark, source), sink, state).awaitTermination()
+    rows = spark.read.parquet(sink).collect()
+    assert sorted(r["site_id"] for r in rows) == [0, 1]
+    assert {r["risk_level"] for r in rows} == {"Elevated"}
+
+
+def test_ingested_index_equals_batch_index(spark, tmp_path):
+    texts = ["Clay soil holds caesium.", "Rain moves sediment.", "Clay soil holds caesium.",
+             "Steep slopes drain fast. Clay slows water."]
+    pages = spark.createDataFrame(
+        [(i, "manual.pdf", None, t) for i, t in enumerate(texts)],
+        "ingest_seq long, source string, page long, text string",
+    )
+    source, store, state = (str(tmp_path / n) for n in ("in", "store", "state"))
+    for first in (0, 2):
+        part = pages.where(F.col("ingest_seq").between(first, first + 1))
+        part.coalesce(1).write.mode("append").parquet(source)
+        ingest_stream(page_stream(spark, source), store, state).awaitTermination()
+    index = open_index(spark, store)
+    assert index.chunks.count() == 3
+    batch = build_index(materialize(balanced_chunks(pages.where("ingest_seq <> 2")), "c"))
+    asked = spark.createDataFrame([(1, "clay"), (2, "rain sediment")], "query_id long, question string")
+    ours = search.search(asked, index).select("query_id", "rank", "chunk_id", "score")
+    theirs = search.search(asked, batch).select("query_id", "rank", "chunk_id", "score")
+    assert sorted(ours.collect()) == sorted(theirs.collect())
