@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskspark import schema as S
-from riskspark.sources.tables import parquet_table
+from riskspark.sources.tables import parquet_table, spread_scan
 
 c = F.col
 
@@ -144,9 +144,10 @@ def scenario_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def page_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as a page table: the document id serves as page and arrival order."""
-    return parquet_table(spark, sf_dir, "documents").select(
+    pages = parquet_table(spark, sf_dir, "documents").select(
         c("doc_id").alias("ingest_seq"), c("source"), c("doc_id").alias("page"), c("text")
     )
+    return spread_scan(pages)
 
 
 def questions(spark: SparkSession, sf_dir: str) -> DataFrame:

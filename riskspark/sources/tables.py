@@ -12,6 +12,15 @@ def parquet_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def spread_scan(df: DataFrame) -> DataFrame:
+    """Use all cores on a table scan of few splits; a scan of many is left alone.
+
+    Only for plain scans, whose splits are known without running anything.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def csv_table(spark: SparkSession, path: str) -> DataFrame:
     """CSV with a header row, every column as text; a missing path is an error.
 

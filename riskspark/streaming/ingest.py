@@ -9,10 +9,11 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from riskspark import schema as S
-from riskspark.operators.chunking import balanced_chunks
+from riskspark.operators.chunking import identified_chunks
 from riskspark.operators.dedup import new_chunks
 from riskspark.operators.search import Index
-from riskspark.operators.tfidf import term_counts, vocabulary, weights
+from riskspark.operators.tfidf import term_counts, vocabulary, weights_of_counts
+from riskspark.sources.tables import spread_scan
 
 DROP_SCHEMA = T.StructType([T.StructField("ingest_seq", T.LongType()), *S.PAGE_SCHEMA])
 CHUNK_SCHEMA = "chunk_id string, ingest_seq long, source string, page long, " \
@@ -46,7 +47,7 @@ def ingest_stream(pages: DataFrame, store: str, checkpoint: str) -> StreamingQue
 
     def append(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        arrived = balanced_chunks(batch)
+        arrived = identified_chunks(spread_scan(batch))
         known = _stored(spark, f"{store}/chunks", CHUNK_SCHEMA, before=batch_id)
         new = new_chunks(arrived, known).select("chunk_id", "ingest_seq", "source", "page",
                                                 "chunk_index", "text")
@@ -67,4 +68,4 @@ def open_index(spark: SparkSession, store: str, max_terms: int = S.MAX_TERMS) ->
     chunks = _stored(spark, f"{store}/chunks", CHUNK_SCHEMA)
     counts = _stored(spark, f"{store}/terms", TERM_SCHEMA)
     vocab = vocabulary(counts, chunks.count(), max_terms)
-    return Index(chunks, vocab, weights(counts, vocab))
+    return Index(chunks, vocab, weights_of_counts(counts, vocab))

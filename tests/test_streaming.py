@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from riskspark import schema as S
 from riskspark.operators import rate_limit, search
-from riskspark.operators.chunking import balanced_chunks
+from riskspark.operators.chunking import identified_chunks
 from riskspark.operators.search import build_index
 from riskspark.session import materialize
 from riskspark.streaming.ingest import ingest_stream, open_index, page_stream
@@ -107,7 +107,7 @@ def test_ingested_index_equals_batch_index(spark, tmp_path):
         ingest_stream(page_stream(spark, source), store, state).awaitTermination()
     index = open_index(spark, store)
     assert index.chunks.count() == 3
-    batch = build_index(materialize(balanced_chunks(pages.where("ingest_seq <> 2")), "c"))
+    batch = build_index(materialize(identified_chunks(pages.where("ingest_seq <> 2")), "c"))
     asked = spark.createDataFrame([(1, "clay"), (2, "rain sediment")], "query_id long, question string")
     ours = search.search(asked, index).select("query_id", "rank", "chunk_id", "score")
     theirs = search.search(asked, batch).select("query_id", "rank", "chunk_id", "score")
