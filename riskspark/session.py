@@ -34,8 +34,10 @@ def shared_dir(spark: SparkSession) -> str:
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        folder = tempfile.mkdtemp(prefix="riskspark-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+        context = spark.sparkContext
+        if context.getCheckpointDir() is None:
+            context.setCheckpointDir(tempfile.mkdtemp(prefix="riskspark-"))
+        folder = context.getCheckpointDir()
     return folder.rstrip("/")
 
 
