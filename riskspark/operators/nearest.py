@@ -65,38 +65,38 @@ def _small(df: DataFrame, rows: int) -> DataFrame:
 
 
 def _grow_tree(segments: DataFrame, x0: float, y0: float, side: float):
-    """Split crowded cells until none is left.
+    """Split the root, then crowded cells until none is left.
 
     Returns per level below the root its cells and the number of their
     parents, and the segments per leaf with their number.
     """
     zero = F.lit(0).cast("long")
     pieces = segments.withColumns({"level": F.lit(0), "cx": zero, "cy": zero})
-    levels, leaves, leaf_rows, parents = [], None, 0, 0
-    for level in range(MAX_LEVEL + 1):
+    def split(crowded: DataFrame, level: int) -> DataFrame:
+        size = side / FAN ** (level + 1)
+        return materialize(
+            _children(crowded).where(_cell_of_segment(size, x0, y0)), f"pieces{level}"
+        )
+
+    pieces = split(pieces, 0)
+    levels, leaves, leaf_rows, parents = [], None, 0, 1
+    for level in range(1, MAX_LEVEL + 1):
         counted = pieces.groupBy(*CELL).agg(F.count("*").alias("n"))
         cells = materialize(counted, f"cells{level}")
         crowded_cell = (c("n") > CROWDED) & F.lit(level < MAX_LEVEL)
         crowded, settled = cells.agg(
             F.count_if(crowded_cell), F.coalesce(F.sum(F.when(~crowded_cell, c("n"))), F.lit(0))
         ).first()
-        if level:
-            levels.append((cells.select(*CELL), parents))
+        levels.append((cells.select(*CELL), parents))
         leaf_rows += settled
         inner = _small(cells.where(crowded_cell).select(*CELL), crowded)
         done = pieces.join(inner, CELL, "left_anti") if crowded else pieces
         leaves = done if leaves is None else leaves.unionByName(done)
         if not crowded:
-            return levels, leaves, leaf_rows
-        size = side / FAN ** (level + 1)
-        pieces = materialize(
-            _children(pieces.join(inner, CELL, "left_semi")).where(
-                _cell_of_segment(size, x0, y0)
-            ),
-            f"pieces{level}",
-        )
+            break
+        pieces = split(pieces.join(inner, CELL, "left_semi"), level)
         parents = crowded
-    raise AssertionError("the last level has no crowded cells")
+    return levels, leaves, leaf_rows
 
 
 def _box_bounds(side: float, x0: float, y0: float) -> tuple[Column, Column]:
@@ -142,28 +142,37 @@ def nearest_distance_km(
     levels, pieces, n_pieces = _grow_tree(segments, x0, y0, side)
 
     spread = points.repartition(key)
-    zero = F.lit(0).cast("long")
+    top = F.array(  # the cells below the root, FAN * FAN at most
+        *(
+            F.struct(*(F.lit(r[n]).cast(t).alias(n) for n, t in zip(CELL, ("int", "long", "long"))))
+            for r in levels[0][0].collect()
+        )
+    )
     front = (
         spread.select(key, mercator_x(c(lon)).alias("px"), mercator_y(c(lat)).alias("py"))
         .where("px is not null and py is not null and abs(py) < double('infinity')")
-        .withColumns({"level": F.lit(0), "cx": zero, "cy": zero})
+        .select(key, "px", "py", F.inline(top))
     )
     near, far = _box_bounds(side, x0, y0)
     best = F.min("far").over(Window.partitionBy(key))
-    for cells, parents in levels:
+
+    def prune(candidates: DataFrame) -> DataFrame:
+        reach = candidates.withColumns({"near": near, "far": far}).withColumn("best", best)
+        kept = reach.where(c("near") <= c("best") * (1 + 1e-9) + side * 1e-9)
+        return kept.select(key, "px", "py", *CELL)
+
+    front = prune(front)
+    for cells, parents in levels[1:]:
         kids = cells.groupBy(
             (c("level") - 1).alias("level"),
             F.floor(c("cx") / FAN).alias("cx"),
             F.floor(c("cy") / FAN).alias("cy"),
         ).agg(F.collect_list(F.struct(*CELL)).alias("kids"))
         itself = F.array(F.struct(*CELL))
-        front = (
-            front.join(_small(kids, parents), CELL, "left")
-            .select(key, "px", "py", F.inline(F.coalesce("kids", itself)))
-            .withColumns({"near": near, "far": far})
-            .withColumn("best", best)
-            .where(c("near") <= c("best") * (1 + 1e-9) + side * 1e-9)
-            .select(key, "px", "py", *CELL)
+        front = prune(
+            front.join(_small(kids, parents), CELL, "left").select(
+                key, "px", "py", F.inline(F.coalesce("kids", itself))
+            )
         )
     distance = segment_distance(c("px"), c("py"), c("x1"), c("y1"), c("x2"), c("y2"))
     found = (

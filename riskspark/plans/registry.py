@@ -3,10 +3,20 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskspark.plans import model_queries, site_oracle, site_queries, stream_oracle, stream_queries, text_oracle, text_queries
+from riskspark.plans import (
+    model_queries,
+    site_oracle,
+    site_queries,
+    stream_oracle,
+    stream_queries,
+    text_oracle,
+    text_queries,
+)
+from riskspark.session import ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -61,13 +71,23 @@ _MODEL_KEYS = (
 _STREAM_KEYS = ("stream_scoring", "stream_ingest", "rate_limit_audit", "rate_limit_stream")
 
 
+def _shipped(query: Query) -> Query:
+    @wraps(query)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship_package(spark)
+        return query(spark, sf_dir)
+
+    return run
+
+
 def queries() -> dict[str, Query]:
-    return {
+    named = {
         **{k: getattr(site_queries, k) for k in _SITE_KEYS},
         **{k: getattr(text_queries, k) for k in _TEXT_KEYS},
         **{k: getattr(model_queries, k) for k in _MODEL_KEYS},
         **{k: getattr(stream_queries, k) for k in _STREAM_KEYS},
     }
+    return {k: _shipped(q) for k, q in named.items()}
 
 
 def oracle_sql() -> dict[str, str]:

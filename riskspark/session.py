@@ -5,9 +5,13 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
+_SHIPPED: set[str] = set()
+
 
 def local_session(cores: str | int = "*", **conf: str) -> SparkSession:
     """A local session for tests and benchmarks; clusters bring their own."""
@@ -41,6 +45,24 @@ def shared_dir(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in the Python workers of a session's executors.
+
+    Does nothing the second time, and is not needed when the package is
+    installed there or was submitted with the job.
+    """
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    root = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="riskspark-package-")) / f"{root.name}.zip"
+    with zipfile.ZipFile(archive, "w") as packed:
+        for source in sorted(root.rglob("*.py")):
+            packed.write(source, source.relative_to(root.parent))
+    context.addPyFile(str(archive))
+    _SHIPPED.add(context.applicationId)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/riskspark/{name}-{uuid.uuid4().hex}"
 
