@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from riskspark.functions.geo import mercator_x, mercator_y, segment_distance
 from riskspark.operators.joins import BROADCAST_ROWS
-from riskspark.session import materialize
+from riskspark.session import materialize, spread_by
 
 c = F.col
 FAN = 4  # a crowded cell is cut into FAN x FAN cells
@@ -141,7 +141,7 @@ def nearest_distance_km(
     side = max(ends[2] - x0, ends[3] - y0, 1.0)
     levels, pieces, n_pieces = _grow_tree(segments, x0, y0, side)
 
-    spread = points.repartition(key)
+    spread = spread_by(points, key)
     top = F.array(  # the cells below the root, FAN * FAN at most
         *(
             F.struct(*(F.lit(r[n]).cast(t).alias(n) for n, t in zip(CELL, ("int", "long", "long"))))

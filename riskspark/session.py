@@ -81,6 +81,15 @@ def materialize(df: DataFrame, name: str, partition_by: list[str] | None = None)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def spread_by(df: DataFrame, key: str) -> DataFrame:
+    """Partition by ``key`` into the configured number of partitions.
+
+    For work that multiplies rows: coalescing by the size of what comes in
+    would leave too few tasks for what goes out.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: cuts lineage and keeps partitions and their row order."""
     context = df.sparkSession.sparkContext
