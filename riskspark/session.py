@@ -34,12 +34,16 @@ def local_session(cores: str | int = "*", **conf: str) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors can reach, as the cluster names it.
 
-    A session without one (tests, local runs) gets a temporary folder.
+    A local session without one (tests) gets a temporary folder, since its only
+    executor runs on this machine; on any other master that is an error.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
         context = spark.sparkContext
         if context.getCheckpointDir() is None:
+            master = context.master
+            if master != "local" and not master.startswith("local["):
+                raise RuntimeError("set spark.checkpoint.dir to a folder that all executors reach")
             context.setCheckpointDir(tempfile.mkdtemp(prefix="riskspark-"))
         folder = context.getCheckpointDir()
     return folder.rstrip("/")
