@@ -1,9 +1,9 @@
 """Quality rules: rules on one document, and frequent lines across the documents of a host.
 
-A line is normalised (lower case, digits as 0, one space between words), hashed, and counted once
-for each distinct text of its host, so copies of one document count as one. Lines in more than
-``max_line_docs`` distinct texts of a host are removed; a document is depleted, and rejected, if
-less than ``min_left`` of its words or fewer than ``min_words`` of them remain.
+A line is normalised (lower case, no blanks around it), hashed, and counted once for each distinct
+text of its host, so copies of one document count as one. Lines in more than ``max_line_docs``
+distinct texts of a host are removed; a document is depleted, and rejected, if less than
+``min_left`` of its characters remain.
 
 Defined cases: a null text is an empty one, has no words and is rejected; a null host is a host of
 its own; repeated rows are judged alike; an empty table gives an empty result; other columns pass
@@ -17,9 +17,9 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskspark.llm.expressions import SPACES, WORD, let, matches_of, whole, without
+from riskspark.llm.expressions import SPACES, let, whole, words_of
 
-SYMBOLS = "#*$%&|<>"
+SYMBOL = "[#*$%&|<>]"
 WINDOW = 5
 
 
@@ -42,8 +42,8 @@ def repeated_words(words: Column) -> Column:
 
     def windows(hashes: Column) -> Column:
         return F.transform(
-            F.sequence(F.lit(1), F.size(hashes) - (WINDOW - 1)),
-            lambda i: F.xxhash64(F.slice(hashes, i, WINDOW)),
+            F.slice(hashes, F.lit(1), F.size(hashes) - (WINDOW - 1)),
+            lambda first, i: F.xxhash64(first, *(F.get(hashes, i + k) for k in range(1, WINDOW))),
         )
 
     def places(found: Column) -> Column:
@@ -81,21 +81,27 @@ def repeated_words(words: Column) -> Column:
     return F.when(F.size(words) > WINDOW, counted).otherwise(F.lit(0).cast("long"))
 
 
+def _with_word(lines: Column) -> Column:
+    return F.filter(lines, lambda line: F.trim(line, F.lit(SPACES)) != "")
+
+
 def document_rules(docs: DataFrame, rules: QualityRules = QualityRules()) -> DataFrame:
     """``doc_id`` with the counts of the rules on one text, and ``base_failed``."""
     text = whole("text")
-    lines = F.filter(F.split(text, "\n"), lambda line: F.length(without(line, SPACES)) > 0)
     counted = docs.select(
         "doc_id",
         let(
-            matches_of(text, WORD),
+            words_of(text),
             lambda words: F.struct(
-                F.size(words).cast("long").alias("n"), repeated_words(words).alias("r")
+                F.size(words).cast("long").alias("n"),
+                F.length(F.array_join(words, "")).cast("long").alias("chars"),
+                repeated_words(words).alias("r"),
             ),
         ).alias("w"),
-        F.length(without(text, SPACES)).cast("long").alias("word_chars"),
-        (F.length(text) - F.length(without(text, SYMBOLS))).cast("long").alias("n_symbols"),
-        let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x)))
+        (F.size(F.split(text, SYMBOL)) - 1).cast("long").alias("n_symbols"),
+        let(
+            _with_word(F.split(text, "\n")), lambda x: F.size(x) - F.size(F.array_distinct(x))
+        )
         .cast("long")
         .alias("n_dup_lines"),
     )
@@ -103,7 +109,7 @@ def document_rules(docs: DataFrame, rules: QualityRules = QualityRules()) -> Dat
     return counted.select(
         "doc_id",
         n.alias("n_words"),
-        "word_chars",
+        F.col("w.chars").alias("word_chars"),
         "n_symbols",
         "n_dup_lines",
         repeats.alias("n_repeat_words"),
@@ -115,18 +121,16 @@ def document_rules(docs: DataFrame, rules: QualityRules = QualityRules()) -> Dat
 
 def line_hash(line: Column) -> Column:
     """Hash of a normalised line."""
-    plain = F.translate(F.lower(line), "123456789", "000000000")
-    return F.xxhash64(F.trim(F.regexp_replace(plain, r"[\x20\x09-\x0D]+", " ")))
+    return F.xxhash64(F.trim(F.lower(line), F.lit(SPACES)))
 
 
 def _lines(docs: DataFrame) -> DataFrame:
-    """A row for each different line with a word: its hash, words and number of places."""
+    """A row for each line with a word: its hash and characters."""
     text = whole("text")
-    lines = F.filter(F.split(text, "\n"), lambda line: F.length(without(line, SPACES)) > 0)
     hashed = F.transform(
-        lines,
+        _with_word(F.split(text, "\n")),
         lambda line: F.struct(
-            line_hash(line).alias("line_hash"), F.size(matches_of(line, WORD)).alias("line_words")
+            line_hash(line).alias("line_hash"), F.length(line).alias("line_chars")
         ),
     )
     return docs.select(
@@ -134,8 +138,11 @@ def _lines(docs: DataFrame) -> DataFrame:
         F.coalesce(F.col("source").cast("string"), F.lit("")).alias("host"),
         F.col("source").isNull().alias("no_host"),
         F.xxhash64(text).alias("text_hash"),
+        F.length(text).alias("text_chars"),
         F.explode(hashed).alias("line"),
-    ).select("doc_id", "host", "no_host", "text_hash", "line.line_hash", "line.line_words")
+    ).select(
+        "doc_id", "host", "no_host", "text_hash", "text_chars", "line.line_hash", "line.line_chars"
+    )
 
 
 def frequent_lines(docs: DataFrame, rules: QualityRules = QualityRules()) -> DataFrame:
@@ -151,34 +158,34 @@ def frequent_lines(docs: DataFrame, rules: QualityRules = QualityRules()) -> Dat
 
 
 def removed_lines(docs: DataFrame, rules: QualityRules = QualityRules()) -> DataFrame:
-    """A row for each document that loses lines: their hashes, number and words."""
-    per_line = _lines(docs).groupBy("doc_id", "host", "no_host", "line_hash").agg(
-        F.count(F.lit(1)).alias("places"), F.sum("line_words").alias("words")
-    )
+    """A row for each document that loses lines: their hashes, number and characters."""
+    lines = _lines(docs).drop("text_hash")
     return (
-        per_line.join(frequent_lines(docs, rules), ["host", "no_host", "line_hash"])
+        lines.join(frequent_lines(docs, rules), ["host", "no_host", "line_hash"])
         .groupBy("doc_id")
         .agg(
-            F.sum("places").alias("n_lines_removed"),
-            F.sum("words").cast("long").alias("n_words_removed"),
-            F.collect_list("line_hash").alias("line_hashes"),
+            F.count(F.lit(1)).alias("n_lines_removed"),
+            F.sum("line_chars").alias("n_chars_removed"),
+            F.max("text_chars").alias("text_chars"),
+            F.collect_set("line_hash").alias("line_hashes"),
         )
     )
 
 
 def quality(docs: DataFrame, rules: QualityRules = QualityRules()) -> DataFrame:
     """The counts of each document, what frequent lines take from it, and ``kept``."""
-    removed = removed_lines(docs, rules).drop("line_hashes")
-    left = F.col("n_words") - F.col("n_words_removed")
-    depleted = (F.col("n_words_removed") > 0) & (
-        (left < rules.min_words) | (left < rules.min_left * F.col("n_words"))
+    left = F.col("text_chars") - F.col("n_chars_removed")
+    removed = removed_lines(docs, rules).select(
+        "doc_id",
+        "n_lines_removed",
+        "n_chars_removed",
+        (left < rules.min_left * F.col("text_chars")).alias("depleted"),
     )
+    nothing = {"n_lines_removed": 0, "n_chars_removed": 0, "depleted": False}
     return (
         document_rules(docs, rules)
         .join(removed, "doc_id", "left")
-        .withColumn("n_lines_removed", F.coalesce("n_lines_removed", F.lit(0).cast("long")))
-        .withColumn("n_words_removed", F.coalesce("n_words_removed", F.lit(0).cast("long")))
-        .withColumn("depleted", depleted)
+        .na.fill(nothing)
         .withColumn("kept", ~F.col("base_failed") & ~F.col("depleted"))
     )
 
@@ -201,7 +208,7 @@ def clean_documents(docs: DataFrame, rules: QualityRules = QualityRules()) -> Da
         "\n",
         F.filter(
             F.split(text, "\n"),
-            lambda line: (F.length(without(line, SPACES)) == 0)
+            lambda line: (F.trim(line, F.lit(SPACES)) == "")
             | ~F.array_contains(F.col("_hashes"), line_hash(line)),
         ),
     )
@@ -234,20 +241,19 @@ h AS (SELECT doc_id, p, list_slice(words, p, p + 4) AS gram FROM g),
 k AS (SELECT doc_id, p, count(*) OVER (PARTITION BY doc_id, gram) AS n FROM h),
 r AS (SELECT doc_id, count(DISTINCT q) AS n_repeat FROM
        (SELECT doc_id, unnest(range(p, p + 5)) AS q FROM k WHERE n > 1) GROUP BY doc_id),
-ln AS (SELECT doc_id, source, th, unnest(ls) AS line FROM w),
-nl AS (SELECT doc_id, source, th, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS lw,
-        trim(regexp_replace(translate(lower(line), '123456789', '000000000'), '[\x20\x09-\x0D]+', ' ', 'g')) AS norm
+ln AS (SELECT doc_id, source, th, length(text) AS tc, unnest(ls) AS line FROM w),
+nl AS (SELECT doc_id, source, th, tc, length(line) AS lc,
+        trim(lower(line), chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS norm
        FROM ln WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
 f AS (SELECT source, norm FROM nl GROUP BY source, norm HAVING count(DISTINCT th) > 20),
-t AS (SELECT doc_id, count(*) AS nr, sum(lw) AS wr FROM nl JOIN f
+t AS (SELECT doc_id, count(*) AS nr, sum(lc) AS lr, max(tc) AS tc FROM nl JOIN f
        ON nl.source IS NOT DISTINCT FROM f.source AND nl.norm = f.norm GROUP BY doc_id),
-v AS (SELECT c.doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars,
+x AS (SELECT c.doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars,
         CAST(n_symbols AS BIGINT) AS n_symbols, CAST(len(good) - len(list_distinct(good)) AS BIGINT) AS n_dup_lines,
         CAST(coalesce(n_repeat, 0) AS BIGINT) AS n_repeat_words, CAST(coalesce(nr, 0) AS BIGINT) AS n_lines_removed,
-        CAST(coalesce(wr, 0) AS BIGINT) AS n_words_removed
-       FROM c LEFT JOIN r USING (doc_id) LEFT JOIN t USING (doc_id)),
-x AS (SELECT *, (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AS base_failed,
-        (n_words_removed > 0 AND (n_words - n_words_removed < 10
-          OR n_words - n_words_removed < 0.1 * n_words)) AS depleted FROM v)
+        CAST(coalesce(lr, 0) AS BIGINT) AS n_chars_removed,
+        (n_words < 10 OR 100 * coalesce(n_repeat, 0) > 20 * n_words) AS base_failed,
+        coalesce(tc - lr < 0.1 * tc, false) AS depleted
+       FROM c LEFT JOIN r USING (doc_id) LEFT JOIN t USING (doc_id))
 SELECT *, (NOT base_failed AND NOT depleted) AS kept FROM x
 """
