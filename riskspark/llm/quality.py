@@ -139,8 +139,8 @@ def _lines(docs: DataFrame) -> DataFrame:
         F.col("source").isNull().alias("no_host"),
         F.xxhash64(text).alias("text_hash"),
         F.length(text).alias("text_chars"),
-        F.explode(hashed).alias("line"),
-    ).select(
+        hashed.alias("lines"),
+    ).select("*", F.explode("lines").alias("line")).select(
         "doc_id", "host", "no_host", "text_hash", "text_chars", "line.line_hash", "line.line_chars"
     )
 
