@@ -6,17 +6,27 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskspark.llm import quality
+from riskspark.llm import licenses, near, quality
 from riskspark.session import ship_package
 from riskspark.sources.tables import parquet_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_documents(parquet_table(spark, sf_dir, "documents"))
+
+
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(parquet_table(spark, sf_dir, "documents"))
 
 
+def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shingles of four words, as the query's contract has them."""
+    docs = parquet_table(spark, sf_dir, "documents")
+    return near.near_duplicates(docs, near.NearRules(shingle=4))
+
+
 def queries() -> dict[str, Query]:
     """Each query by name, with the package shipped to the executors first."""
 
@@ -27,8 +37,11 @@ def queries() -> dict[str, Query]:
 
         return run
 
-    return {q.__name__: shipped(q) for q in (op2_quality_rules,)}
+    return {q.__name__: shipped(q) for q in (op1_license_scan, op2_quality_rules, op5_minhash_near_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_quality_rules": quality.ORACLE}
+    return {
+        "op1_license_scan": licenses.oracle_sql(),
+        "op2_quality_rules": quality.ORACLE,
+    }
