@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskspark.llm import licenses, near, quality
+from riskspark.llm import licenses, near, quality, repeats
 from riskspark.session import ship_package
 from riskspark.sources.tables import parquet_table
 
@@ -27,6 +27,10 @@ def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near.near_duplicates(docs, near.NearRules(shingle=4))
 
 
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.repeats(parquet_table(spark, sf_dir, "documents")).drop("spans")
+
+
 def queries() -> dict[str, Query]:
     """Each query by name, with the package shipped to the executors first."""
 
@@ -37,7 +41,7 @@ def queries() -> dict[str, Query]:
 
         return run
 
-    return {q.__name__: shipped(q) for q in (op1_license_scan, op2_quality_rules, op5_minhash_near_dedup)}
+    return {q.__name__: shipped(q) for q in (op1_license_scan, op2_quality_rules, op5_minhash_near_dedup, op8_suffix_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
