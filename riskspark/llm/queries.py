@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskspark.llm import licenses, near, quality, repeats
+from riskspark.llm import licenses, near, quality, repeats, toxicity
 from riskspark.session import ship_package
 from riskspark.sources.tables import parquet_table
 
@@ -31,6 +31,12 @@ def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.repeats(parquet_table(spark, sf_dir, "documents")).drop("spans")
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(
+        parquet_table(spark, sf_dir, "documents"), parquet_table(spark, sf_dir, "labels")
+    )
+
+
 def queries() -> dict[str, Query]:
     """Each query by name, with the package shipped to the executors first."""
 
@@ -41,7 +47,7 @@ def queries() -> dict[str, Query]:
 
         return run
 
-    return {q.__name__: shipped(q) for q in (op1_license_scan, op2_quality_rules, op5_minhash_near_dedup, op8_suffix_dedup)}
+    return {q.__name__: shipped(q) for q in (op1_license_scan, op2_quality_rules, op5_minhash_near_dedup, op8_suffix_dedup, op9_toxicity)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -15,6 +15,9 @@ import pyarrow.compute as pc
 _BASE = 0x9E3779B97F4A7C15 | 1
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[32, 9, 10, 11, 12, 13]] = True
+#: Bytes of words without punctuation: digits, letters and all beyond ASCII.
+NAME_BYTES = np.zeros(256, dtype=bool)
+NAME_BYTES[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
@@ -91,9 +94,16 @@ def range_hash(sums, down, start, stop) -> np.ndarray:
     return mix((sums[stop] - sums[start]) * down[start])
 
 
-def word_spans(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start and stop of the words (no ASCII white space), and the first word of each text."""
-    word = ~_SPACE[data]
+def lowered(data: np.ndarray) -> np.ndarray:
+    """A-Z as a-z."""
+    return _LOWER[data]
+
+
+def word_spans(
+    data: np.ndarray, at: np.ndarray, inside: np.ndarray = ~_SPACE
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start and stop of the runs of bytes ``inside``, and the first run of each text."""
+    word = inside[data]
     first = np.zeros(len(data) + 1, dtype=bool)
     first[at] = True
     before = np.zeros(len(data), dtype=bool)
