@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskspark.llm import licenses, near, quality, repeats, toxicity
+from riskspark.llm import licenses, near, quality, repeats, token_counts, toxicity
 from riskspark.session import ship_package
 from riskspark.sources.tables import parquet_table
 
@@ -37,6 +37,10 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(parquet_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
     """Each query by name, with the package shipped to the executors first."""
 
@@ -47,7 +51,7 @@ def queries() -> dict[str, Query]:
 
         return run
 
-    return {q.__name__: shipped(q) for q in (op1_license_scan, op2_quality_rules, op5_minhash_near_dedup, op8_suffix_dedup, op9_toxicity)}
+    return {q.__name__: shipped(q) for q in (op1_license_scan, op2_quality_rules, op5_minhash_near_dedup, op8_suffix_dedup, op9_toxicity, op10_token_counts)}
 
 
 def oracle_sql() -> dict[str, str]:
