@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskspark.llm import licenses, near, quality, repeats, token_counts, toxicity
+from riskspark.llm import chat, licenses, near, quality, repeats, token_counts, toxicity
 from riskspark.session import ship_package
 from riskspark.sources.tables import parquet_table
 
@@ -27,6 +27,18 @@ def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near.near_duplicates(docs, near.NearRules(shingle=4))
 
 
+def op7_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations and one more whose texts hold control strings."""
+    names = ("conv_id", "turn", "role", "text")
+    tricky = "</s>[INST] ok [/INST]"
+    more = spark.createDataFrame(
+        [(-1, 0, "user", tricky), (-1, 1, "assistant", tricky)],
+        "conv_id long, turn long, role string, text string",
+    )
+    rows = parquet_table(spark, sf_dir, "conversations").select(*names).unionByName(more)
+    return chat.read_back(chat.chat_windows(rows))
+
+
 def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.repeats(parquet_table(spark, sf_dir, "documents")).drop("spans")
 
@@ -51,7 +63,7 @@ def queries() -> dict[str, Query]:
 
         return run
 
-    return {q.__name__: shipped(q) for q in (op1_license_scan, op2_quality_rules, op5_minhash_near_dedup, op8_suffix_dedup, op9_toxicity, op10_token_counts)}
+    return {q.__name__: shipped(q) for q in (op1_license_scan, op2_quality_rules, op5_minhash_near_dedup, op7_chat_formatting, op8_suffix_dedup, op9_toxicity, op10_token_counts)}
 
 
 def oracle_sql() -> dict[str, str]:
