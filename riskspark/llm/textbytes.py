@@ -32,7 +32,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 _VALUE = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(_BASE))
-_STEPS = mix(np.arange(1001, 1065, dtype=np.uint64) * np.uint64(_BASE)) | np.uint64(1)
+STEPS = mix(np.arange(1001, 1065, dtype=np.uint64) * np.uint64(_BASE)) | np.uint64(1)
 
 
 class _Powers:
@@ -127,7 +127,7 @@ def gram_hashes(hashes: np.ndarray, n: int) -> np.ndarray:
     """Hash of the ``n`` words from each word on, as far as ``hashes`` goes."""
     out = np.zeros(max(0, len(hashes) - n + 1), dtype=np.uint64)
     for i in range(n):
-        out += hashes[i : i + len(out)] * _STEPS[i]
+        out += hashes[i : i + len(out)] * STEPS[i]
     return mix(out)
 
 
