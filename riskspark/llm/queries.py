@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskspark.llm import chat, decontaminate, licenses, near, quality, repeats, token_counts, toxicity
+from riskspark.llm import chat, decontaminate, licenses, mixing, near, quality, repeats, token_counts, toxicity
 from riskspark.session import ship_package
 from riskspark.sources.tables import parquet_table
 
@@ -27,6 +27,10 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(parquet_table(spark, sf_dir, "documents"))
+
+
 def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shingles of four words, as the query's contract has them."""
     docs = parquet_table(spark, sf_dir, "documents")
@@ -69,7 +73,7 @@ def queries() -> dict[str, Query]:
 
         return run
 
-    return {q.__name__: shipped(q) for q in (op1_license_scan, op2_quality_rules, op3_decontamination, op5_minhash_near_dedup, op7_chat_formatting, op8_suffix_dedup, op9_toxicity, op10_token_counts)}
+    return {q.__name__: shipped(q) for q in (op1_license_scan, op2_quality_rules, op3_decontamination, op4_source_mixing, op5_minhash_near_dedup, op7_chat_formatting, op8_suffix_dedup, op9_toxicity, op10_token_counts)}
 
 
 def oracle_sql() -> dict[str, str]:
