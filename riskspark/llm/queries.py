@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskspark.llm import chat, decontaminate, licenses, mixing, near, quality, repeats, token_counts, toxicity
+from riskspark.llm import chat, decontaminate, licenses, lm_scores, mixing, near, quality, repeats, token_counts, toxicity
 from riskspark.session import ship_package
 from riskspark.sources.tables import parquet_table
 
@@ -37,6 +37,12 @@ def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near.near_duplicates(docs, near.NearRules(shingle=4))
 
 
+def op6_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scores.scores(
+        parquet_table(spark, sf_dir, "documents"), parquet_table(spark, sf_dir, "labels")
+    )
+
+
 def op7_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations and one more whose texts hold control strings."""
     names = ("conv_id", "turn", "role", "text")
@@ -73,7 +79,7 @@ def queries() -> dict[str, Query]:
 
         return run
 
-    return {q.__name__: shipped(q) for q in (op1_license_scan, op2_quality_rules, op3_decontamination, op4_source_mixing, op5_minhash_near_dedup, op7_chat_formatting, op8_suffix_dedup, op9_toxicity, op10_token_counts)}
+    return {q.__name__: shipped(q) for q in (op1_license_scan, op2_quality_rules, op3_decontamination, op4_source_mixing, op5_minhash_near_dedup, op6_lm_scores, op7_chat_formatting, op8_suffix_dedup, op9_toxicity, op10_token_counts)}
 
 
 def oracle_sql() -> dict[str, str]:
