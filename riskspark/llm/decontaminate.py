@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskspark.llm import textbytes as tb
-from riskspark.llm.graph import BROADCAST_IDS
+from riskspark.llm.graph import without_ids
 from riskspark.session import materialize
 
 #: Positions that count (1) and that may differ (0).
@@ -215,10 +215,7 @@ def clean_documents(
 ) -> DataFrame:
     """The documents that overlap with no item, in the columns of ``docs``."""
     leaked = materialize(
-        overlaps(docs, benchmark, rules).select(F.col("doc_id").alias("_leaked")).distinct(),
+        overlaps(docs, benchmark, rules).select("doc_id").distinct(),
         "leaked",
     )
-    few = leaked.count() <= BROADCAST_IDS
-    return docs.join(
-        F.broadcast(leaked) if few else leaked, F.col("doc_id") == F.col("_leaked"), "left_anti"
-    )
+    return without_ids(docs, leaked, "doc_id")

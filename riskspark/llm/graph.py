@@ -58,5 +58,15 @@ def with_ids(rows: DataFrame, ids: DataFrame, key: str) -> DataFrame:
     The ids have a fixed width, so their number bounds what is broadcast; beyond the bound
     both sides are shuffled, with the same result.
     """
+    return _by_ids(rows, ids, key, "left_semi")
+
+
+def without_ids(rows: DataFrame, ids: DataFrame, key: str) -> DataFrame:
+    """The rows whose ``key`` is not among the stored ``ids``, nulls included."""
+    return _by_ids(rows, ids, key, "left_anti")
+
+
+def _by_ids(rows: DataFrame, ids: DataFrame, key: str, how: str) -> DataFrame:
+    ids = ids.select(F.col(key).alias("__listed_id"))
     few = ids.count() <= BROADCAST_IDS
-    return rows.join(F.broadcast(ids) if few else ids, key, "left_semi")
+    return rows.join(F.broadcast(ids) if few else ids, F.col(key) == F.col("__listed_id"), how)

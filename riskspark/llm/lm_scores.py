@@ -1,7 +1,7 @@
 """Cross-entropy difference of two matched n-gram models.
 
 The target model learns from documents labelled good and not toxic; the background model from as
-many words of the other documents, drawn by a hash of the text (matched sizes). Both are bigram
+much text of the other documents, drawn by a hash (matched sizes). Both are bigram
 models with absolute discounting over one vocabulary: the ``vocabulary`` most frequent words of what
 the two learn from; every other word is <unk>. Bigrams seen fewer than ``least`` times in both
 together back off. A document's score is its mean loss per word under the target model minus that

@@ -12,7 +12,8 @@ soon as the posterior probability that its similarity reaches the threshold (uni
 binomial matches) falls below ``miss``. Survivors are verified on their full shingle sets.
 
 Defined cases: a null or empty text, or one without words, has no shingles and no links; a text of
-fewer words than a shingle is one shingle; repeated rows get one result for each row; an empty table
+fewer words than a shingle is one shingle; repeated rows get one result for each row; a row without a
+doc_id takes part in no link and is kept; rows that share a doc_id share their links; an empty table
 gives an empty result; other columns are ignored.
 """
 
@@ -28,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskspark.llm import textbytes as tb
-from riskspark.llm.graph import components, with_ids
+from riskspark.llm.graph import components, with_ids, without_ids
 from riskspark.session import materialize
 
 _MULTIPLY = (tb.mix(np.arange(1, 4097, dtype=np.uint64)) >> np.uint64(32)).astype(np.uint32) | 1
@@ -296,14 +297,14 @@ def _joined(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
 def near_duplicates(docs: DataFrame, rules: NearRules = NearRules()) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` of each row of ``docs``."""
     sigs = materialize(signatures(docs, rules), "signatures")
-    whole = sigs.where(F.col("n_shingles") > 0)
+    whole = sigs.where((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull())
     classes = materialize(
         whole.groupBy("set_a", "set_b").agg(
             F.min("doc_id").alias("doc"), F.any_value("sig").alias("sig")
         ),
         "classes",
     )
-    links = _links(docs, classes, rules)
+    links = _links(docs.where("doc_id is not null"), classes, rules)
     merged = components(links)
     to = F.coalesce("component", "doc").alias("component_id")
     of_class = classes.join(merged, F.col("doc") == F.col("node"), "left").select(
@@ -315,10 +316,27 @@ def near_duplicates(docs: DataFrame, rules: NearRules = NearRules()) -> DataFram
         "doc_id",
         "n_shingles",
         F.coalesce("component_id", "doc_id").alias("component_id"),
-        (F.col("doc_id") == F.coalesce("component_id", "doc_id")).alias("kept"),
+        F.coalesce(F.col("doc_id") == F.coalesce("component_id", "doc_id"), F.lit(True)).alias("kept"),
     )
 
 
+def clean_documents(docs: DataFrame, rules: NearRules = NearRules()) -> DataFrame:
+    """One document of each group, the one of the smallest doc_id, in the columns of ``docs``.
+
+    Of rows that share a doc_id one stays; rows without one all stay.
+    """
+    judged = materialize(near_duplicates(docs, rules), "judged")
+    gone = judged.where("not kept and doc_id is not null").select("doc_id").distinct()
+    left = without_ids(docs, materialize(gone, "gone"), "doc_id")
+    again = materialize(
+        judged.where("kept").groupBy("doc_id").count().where("count > 1").select("doc_id"), "again"
+    )
+    if again.isEmpty():
+        return left
+    single = with_ids(left, again, "doc_id").dropDuplicates(["doc_id"])
+    return without_ids(left, again, "doc_id").unionByName(single)
+
+
 def _links(docs: DataFrame, classes: DataFrame, rules: NearRules) -> DataFrame:
     """Links between classes, enough of them for the components."""
     rows = band_rows(classes, rules)

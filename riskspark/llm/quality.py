@@ -196,12 +196,12 @@ def clean_documents(docs: DataFrame, rules: QualityRules = QualityRules()) -> Da
     Texts that lose nothing stay byte for byte; ``n_chars`` follows a changed text.
     """
     names = docs.columns
-    verdict = quality(docs, rules).where("kept").select(F.col("doc_id").alias("_id"))
+    verdict = quality(docs, rules).where("kept").select(F.col("doc_id").alias("__quality_id"))
     taken = removed_lines(docs, rules).select(
-        F.col("doc_id").alias("_taken_id"), F.col("line_hashes").alias("_hashes")
+        F.col("doc_id").alias("__quality_taken_id"), F.col("line_hashes").alias("__quality_hashes")
     )
-    marked = verdict.join(taken, F.col("_id") == F.col("_taken_id"), "left").select(
-        "_id", "_hashes"
+    marked = verdict.join(taken, F.col("__quality_id") == F.col("__quality_taken_id"), "left").select(
+        "__quality_id", "__quality_hashes"
     )
     text = whole("text")
     shorter = F.concat_ws(
@@ -209,20 +209,20 @@ def clean_documents(docs: DataFrame, rules: QualityRules = QualityRules()) -> Da
         F.filter(
             F.split(text, "\n"),
             lambda line: (F.trim(line, F.lit(SPACES)) == "")
-            | ~F.array_contains(F.col("_hashes"), line_hash(line)),
+            | ~F.array_contains(F.col("__quality_hashes"), line_hash(line)),
         ),
     )
-    new_text = F.when(F.col("_hashes").isNull(), F.col("text")).otherwise(shorter)
-    joined = docs.join(marked, F.col("doc_id") == F.col("_id")).withColumn("_text", new_text)
+    new_text = F.when(F.col("__quality_hashes").isNull(), F.col("text")).otherwise(shorter)
+    joined = docs.join(marked, F.col("doc_id") == F.col("__quality_id")).withColumn("__quality_text", new_text)
     out = []
     for name in names:
         if name == "text":
-            out.append(F.col("_text").alias("text"))
+            out.append(F.col("__quality_text").alias("text"))
         elif name == "n_chars":
-            changed = F.col("_hashes").isNotNull()
+            changed = F.col("__quality_hashes").isNotNull()
             kind = docs.schema["n_chars"].dataType
             out.append(
-                F.when(changed, F.length("_text").cast(kind)).otherwise(F.col(name)).alias(name)
+                F.when(changed, F.length("__quality_text").cast(kind)).otherwise(F.col(name)).alias(name)
             )
         else:
             out.append(F.col(f"`{name}`"))

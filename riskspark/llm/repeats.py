@@ -75,12 +75,10 @@ def runs_of(data: np.ndarray, at: np.ndarray, rules: RepeatRules) -> Runs:
     order = (((raw ^ (raw >> np.uint64(29))) * _ORDER) & ~_LOW) | np.arange(seeds, dtype=np.uint64)
     anchor = (_window_minimum(order, rules.length - rules.seed + 1) & _LOW).astype(np.int64)
     # Starts near the end of a text would reach into the next one.
-    fits = np.ones(starts + rules.length, dtype=np.int8)
     tail = np.zeros(starts + rules.length + 1, dtype=np.int32)
     np.add.at(tail, np.minimum(np.maximum(at[1:] - rules.length + 1, at[:-1]), starts), 1)
     np.add.at(tail, np.minimum(at[1:], starts), -1)
-    fits = np.cumsum(tail[:starts]) == 0
-    place = np.flatnonzero(fits)
+    place = np.flatnonzero(np.cumsum(tail[:starts]) == 0)
     if not len(place):
         return Runs(none, none, none.astype(np.uint64), none.astype(np.uint64), none)
     anchor = anchor[place]
@@ -343,7 +341,7 @@ def _repeated_spans(rows: DataFrame, rules: RepeatRules) -> DataFrame:
             first = np.maximum.accumulate(np.where(new, np.arange(len(new)), -1))
             smallest = np.where(first >= 0, doc[first], holder if holder is not None else 0)
             seed_before, part_before, holder = seed[-1], part[-1], smallest[-1]
-            keep = (doc > smallest) | (part == 0) & (stop - start > rules.length) | (part == 0)
+            keep = (doc > smallest) | (part == 0)
             doc, start, stop = doc[keep], start[keep], stop[keep]
             order = np.lexsort((start, doc))
             doc, start, stop = doc[order], start[order], stop[order]
@@ -440,6 +438,45 @@ def repeats(docs: DataFrame, rules: RepeatRules = RepeatRules()) -> DataFrame:
     return joined.select("doc_id", "text", "spans").mapInArrow(run, schema)
 
 
+def without_repeats(docs: DataFrame, rules: RepeatRules = RepeatRules()) -> DataFrame:
+    """``docs`` without repeated strings, in its columns; ``n_chars`` follows a changed text.
+
+    A character that loses some of its bytes goes entirely.
+    """
+    _, spans = repeated_spans(docs, rules)
+    names, plain = docs.columns, [f"c{i}" for i in range(len(docs.columns))]
+    key, text = plain[names.index("doc_id")], plain[names.index("text")]
+    size = plain[names.index("n_chars")] if "n_chars" in names else None
+    renamed = docs.toDF(*plain)
+    dealt = renamed.repartition(
+        int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), F.col(key).cast("long")
+    )
+    joined = dealt.join(spans, F.col(key).cast("long") == F.col("doc"), "left").drop("doc")
+
+    def run(batches):
+        for batch in batches:
+            found = batch.column("spans").to_pylist()
+            texts = batch.column(text).to_pylist()
+            sizes = batch.column(size).to_pylist() if size else None
+            for i, own in enumerate(found):
+                if own:
+                    _, pieces = _cut(texts[i].encode(), [(s["start"], s["stop"]) for s in own])
+                    texts[i] = b"".join(pieces).decode(errors="ignore")
+                    if size:
+                        sizes[i] = len(texts[i])
+            out = []
+            for name in plain:
+                column = batch.column(name)
+                if name == text:
+                    column = pa.array(texts, column.type)
+                elif name == size:
+                    column = pa.array(sizes, column.type)
+                out.append(column)
+            yield pa.RecordBatch.from_arrays(out, names=plain)
+
+    return joined.mapInArrow(run, renamed.schema).toDF(*names)
+
+
 _SPANS = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))
 _REPEATS = pa.schema(
     [
