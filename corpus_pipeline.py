@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from riskspark.llm import decontaminate, mixing, near, quality, repeats
-from riskspark.session import materialize, ship_package
+from riskspark.llm.runtime import prepare
+from riskspark.session import materialize
 from riskspark.sources.tables import parquet_table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -15,31 +16,31 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 def rule_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejected documents go; the others lose their frequent lines."""
-    ship_package(spark)
+    prepare(spark)
     return quality.clean_documents(docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates stays."""
-    ship_package(spark)
+    prepare(spark)
     return near.clean_documents(docs)
 
 
 def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Byte strings that an earlier document holds too are cut out."""
-    ship_package(spark)
+    prepare(spark)
     return repeats.without_repeats(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that overlap with the benchmark go."""
-    ship_package(spark)
+    prepare(spark)
     return decontaminate.clean_documents(docs, parquet_table(spark, sf_dir, "benchmark"))
 
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The draws of the mixture, by document, epoch and block."""
-    ship_package(spark)
+    prepare(spark)
     return mixing.mix(docs)
 
 

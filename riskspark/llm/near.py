@@ -2,11 +2,14 @@
 
 Documents with equal shingle sets are one class from the start. Each class has a signature of
 ``bands * rows`` minima of eight bits; classes that agree in all rows of a band share a bucket.
-Pairs of a bucket are not listed. Each member is first compared with one leader of the bucket, in
-rounds with other leaders; links make components, and a bucket whose members are all in one
-component is done. What is left, pairs of different components within a bucket, is compared block
+Pairs of a bucket are not listed. Each member is first compared with one leader of the bucket (in as
+many rounds as asked for, with other leaders); links make components, and a bucket whose members are
+all in one component is done. What is left, pairs of different components within a bucket, is compared block
 by block, so that no task holds more than two blocks and no pair of them is missed.
 
+Blocks hold the texts too, so survivors are verified there, and links within what a block has already
+joined are left out: rows grow with the members of a bucket, not with its pairs.
+
 Comparing a pair is sequential: the signatures are read batch by batch, and the pair is dropped as
 soon as the posterior probability that its similarity reaches the threshold (uniform prior,
 binomial matches) falls below ``miss``. Survivors are verified on their full shingle sets.
@@ -46,8 +49,8 @@ class NearRules:
     rows: int = 6
     miss: float = 1e-6
     batch: int = 48
-    rounds: int = 2
-    block: int = 512
+    rounds: int = 1
+    block: int = 256
 
     @property
     def size(self) -> int:
@@ -189,8 +192,7 @@ def verify(pairs: DataFrame, texts: DataFrame, rules: NearRules) -> DataFrame:
                 )
                 linked = []
                 for row, (x, y) in enumerate(zip(one, two, strict=True)):
-                    common = np.isin(x, y, assume_unique=True, kind="sort").sum()
-                    if 100 * common >= rules.percent * (len(x) + len(y) - common):
+                    if _similar(x, y, rules):
                         linked.append(row)
                 yield part.select(["a", "b"]).take(pa.array(linked, pa.int64()))
 
@@ -202,6 +204,15 @@ def verify(pairs: DataFrame, texts: DataFrame, rules: NearRules) -> DataFrame:
     )
 
 
+def _similar(x: np.ndarray, y: np.ndarray, rules: NearRules) -> bool:
+    """Whether two full sets reach the threshold."""
+    if 100 * min(len(x), len(y)) < rules.percent * max(len(x), len(y)):
+        return False
+    at = np.minimum(np.searchsorted(x, y), len(x) - 1)
+    common = int((x[at] == y).sum())
+    return 100 * common >= rules.percent * (len(x) + len(y) - common)
+
+
 def _sets(column: pa.Array, n: int) -> list[np.ndarray]:
     """Shingle sets of a column; a text that comes again is shingled once."""
     coded = column.dictionary_encode()
@@ -225,42 +236,66 @@ def _block_pairs(members: DataFrame, sizes: DataFrame, rules: NearRules) -> Data
     )
 
 
-def cross_pairs(
-    members: DataFrame, sizes: DataFrame, classes: DataFrame, rules: NearRules
-) -> DataFrame:
-    """Pairs of different components that share a bucket and survive the comparison.
+class _Forest:
+    """Which rows of a block are joined so far, beginning with their components."""
+
+    def __init__(self, labels: np.ndarray) -> None:
+        self.label = labels.copy()
+
+    def join(self, a: int, b: int) -> None:
+        self.label[self.label == self.label[b]] = self.label[a]
+
+
+def _compare_blocks(table: pa.RecordBatch, rules: NearRules) -> tuple[list, list]:
+    """Links between different components of a block, or of two, enough to join them.
 
     A pair is looked at in its first common band alone.
     """
-    signed = _block_pairs(members, sizes, rules).join(classes.select("doc", "sig"), "doc")
+    ids, own = (table.column(c).to_numpy() for c in ("doc", "own"))
+    key, i, j = (table.column(c)[0].as_py() for c in ("key", "i", "j"))
+    forest = _Forest(table.column("component").to_numpy())
+    sigs = _sig_matrix(table.column("sig"), rules.size)
+    cut = sigs.reshape(len(ids), rules.bands, rules.rows)
+    earlier = slice(0, key >> 48)
+    rows = np.flatnonzero(own == i)
+    against = rows if i == j else np.flatnonzero(own == j)
+    sets: dict[int, np.ndarray] = {}
+
+    def shingles(row: int) -> np.ndarray:
+        if row not in sets:
+            sets[row] = next(tb.shingle_sets(table.column("text").slice(row, 1), rules.shingle))
+        return sets[row]
+
+    found_a, found_b = [], []
+    for row in rows.tolist():
+        other = against[against > row] if i == j else against
+        other = other[forest.label[other] != forest.label[row]]
+        if not len(other):
+            continue
+        seen = (cut[other, earlier] == cut[row, earlier]).all(axis=2).any(axis=1)
+        other = other[~seen]
+        mine = np.broadcast_to(sigs[row], (len(other), rules.size))
+        for k in other[_survivors(sigs[other], mine, rules)].tolist():
+            if forest.label[k] != forest.label[row] and _similar(shingles(row), shingles(k), rules):
+                forest.join(row, k)
+                found_a.append(ids[row])
+                found_b.append(ids[k])
+    return found_a, found_b
+
+
+def cross_links(
+    members: DataFrame, sizes: DataFrame, classes: DataFrame, rules: NearRules
+) -> DataFrame:
+    """Links ``a, b`` between different components that share a bucket."""
+    signed = _block_pairs(members, sizes, rules).join(classes, "doc")
     n = int(signed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     group = ["key", "i", "j"]
     ordered = signed.repartition(n, *group).sortWithinPartitions(*group)
-    bands = np.arange(rules.bands)
 
     def compare(table: pa.RecordBatch):
-        ids, component, own = (table.column(c).to_numpy() for c in ("doc", "component", "own"))
-        key, i, j = (table.column(c)[0].as_py() for c in group)
-        sigs = _sig_matrix(table.column("sig"), rules.size)
-        rows = np.flatnonzero(own == i)
-        against = rows if i == j else np.flatnonzero(own == j)
-        cut = sigs.reshape(len(ids), rules.bands, rules.rows)
-        found_a, found_b = [], []
-        for row in rows.tolist():
-            other = against[component[against] != component[row]]
-            if i == j:
-                other = other[other > row]
-            if not len(other):
-                continue
-            earlier = bands[: key >> 48]
-            if len(earlier):
-                seen = (cut[other][:, earlier] == cut[row, earlier]).all(axis=2).any(axis=1)
-                other = other[~seen]
-            left = _survivors(sigs[other], np.broadcast_to(sigs[row], (len(other), rules.size)), rules)
-            found_a.append(np.full(len(left), ids[row]))
-            found_b.append(ids[other[left]])
-        if found_a:
-            a, b = np.concatenate(found_a), np.concatenate(found_b)
+        a, b = _compare_blocks(table, rules)
+        if a:
+            a, b = np.array(a), np.array(b)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"]
             )
@@ -349,7 +384,7 @@ def _links(docs: DataFrame, classes: DataFrame, rules: NearRules) -> DataFrame:
         ).groupBy(F.col("doc_id").alias("doc")).agg(F.min("text").alias("text")),
         "texts",
     )
-    signed = materialize(with_ids(classes, taking_part.withColumnRenamed("doc_id", "doc"), "doc"), "signed")
+    signed = materialize(classes.select("doc", "sig").join(texts, "doc"), "signed")
 
     links = members.sparkSession.createDataFrame([], "a long, b long")
     tried = links
@@ -386,5 +421,4 @@ def _links(docs: DataFrame, classes: DataFrame, rules: NearRules) -> DataFrame:
         .agg(F.count(F.lit(1)).alias("n"), F.min("component").alias("low"), F.max("component").alias("high"))
         .where(F.col("low") < F.col("high"))
     )
-    crossing = cross_pairs(grouped, still, signed, rules).join(tried, ["a", "b"], "left_anti")
-    return materialize(links.unionByName(verify(crossing, texts, rules)), "links")
+    return materialize(links.unionByName(cross_links(grouped, still, signed, rules)), "links")

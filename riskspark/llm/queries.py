@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from riskspark.llm import chat, decontaminate, licenses, lm_scores, mixing, near, quality, repeats, token_counts, toxicity
-from riskspark.session import ship_package
+from riskspark.llm.runtime import prepare
 from riskspark.sources.tables import parquet_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -70,11 +70,11 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    """Each query by name, with the package shipped to the executors first."""
+    """Each query by name, on a prepared session."""
 
     def shipped(query: Query) -> Query:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            ship_package(spark)
+            prepare(spark)
             return query(spark, sf_dir)
 
         return run
