@@ -41,7 +41,13 @@ def positional_zip(
     left_order: Sequence[Column | str],
     right_order: Sequence[Column | str],
 ) -> DataFrame:
-    """Rows side by side by place in the given orders; the left wins on equal names."""
+    """Rows side by side by place in the given orders; the left wins on equal names.
+
+    Tables of unequal length have no such pairing and are an error.
+    """
+    lengths = left.count(), right.count()
+    if lengths[0] != lengths[1]:
+        raise ValueError(f"tables of {lengths[0]} and {lengths[1]} rows can't be zipped")
     right = right.drop(*(set(left.columns) & set(right.columns)))
     a = global_rank(left, left_order, "_place")
     b = global_rank(right, right_order, "_place")
@@ -63,7 +69,7 @@ def training_table(
     the caller names an order for both, since Spark rows have none; otherwise
     they are joined on a unique record id.
     """
-    needed = S.feature_set(feature_set).required_columns(target)
+    needed = {*S.feature_columns(feature_set), target}
     for table in (nuclides, env):
         if covers(table, feature_set, target):
             return table

@@ -13,6 +13,7 @@ from riskspark import schema as S
 from riskspark.session import materialize
 
 c = F.col
+HASH_WIDTH = 32  # characters of an MD5 digest
 _PARTITION_BITS = 33  # monotonically_increasing_id keeps the partition above these bits
 
 
@@ -66,8 +67,11 @@ def hash_cutoffs(
 
     Ranks are narrowed down by counting hash prefixes, so nothing is sorted
     or shuffled but a few thousand counts per pass, and three passes reach
-    any row of a trillion. ``df`` should be a stored table.
+    any row of a trillion. Rows of equal key share a hash of full width and are
+    counted, not listed. ``df`` should be a stored table without null keys.
     """
+    if not df.where(c(key).isNull()).isEmpty():
+        raise ValueError(f"{key!r} has null values, which have no place in hash order")
     hashed = df.select(key, shuffle_hash(key, seed).alias("_h"))
     open_ranks = {rank: ("", rank) for rank in ranks}  # rank -> (prefix, rank below prefix)
     small: dict[str, int] = {}
@@ -86,17 +90,26 @@ def hash_cutoffs(
             for child, n in by_parent[prefix]:
                 if below < n:
                     open_ranks[rank] = (child, below)
-                    if n <= leaf_rows:
+                    if n <= leaf_rows or width >= HASH_WIDTH:
                         small[child] = n
                     break
                 below -= n
     found: dict[str, list] = {}
     for size in sorted({len(p) for p in small}):
         wanted = [p for p in small if len(p) == size]
-        rows = hashed.where(c("_h").substr(1, size).isin(*wanted)).collect()
-        for row in rows:
-            found.setdefault(row["_h"][:size], []).append((row["_h"], row[key]))
-    return [sorted(found[prefix])[below] for prefix, below in (open_ranks[r] for r in ranks)]
+        leaf = hashed.where(c("_h").substr(1, size).isin(*wanted))
+        for row in leaf.groupBy("_h", key).count().collect():
+            found.setdefault(row["_h"][:size], []).append(((row["_h"], row[key]), row["count"]))
+    return [_at(sorted(found[prefix]), below) for prefix, below in (open_ranks[r] for r in ranks)]
+
+
+def _at(counted: list[tuple], rank: int) -> tuple[str, Any]:
+    """The entry of a counted, sorted list that covers a 0-based rank."""
+    for entry, n in counted:
+        if rank < n:
+            return entry
+        rank -= n
+    raise IndexError("the rank is beyond the list")
 
 
 def _after(key: str, seed: int, cutoff: tuple[str, Any]) -> Column:
@@ -153,12 +166,13 @@ def at_least_top(df: DataFrame, measure: str, k: int) -> DataFrame:
 def top_rows(df: DataFrame, order: Sequence[Column], k: int, key: str) -> DataFrame:
     """The first ``k`` rows in a total order.
 
-    Buckets of ``key`` are cut to ``k`` first, so the last step sees at most
-    64 * k rows whatever the size of the input.
+    Buckets of ``key``, as many as there are shuffle partitions, are cut to ``k``
+    first, so the last step sees at most that many times ``k`` rows.
     """
+    buckets = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     per_bucket = Window.partitionBy("_bucket").orderBy(*order)
     cut = (
-        df.withColumn("_bucket", F.pmod(F.xxhash64(key), F.lit(64)))
+        df.withColumn("_bucket", F.pmod(F.xxhash64(key), F.lit(buckets)))
         .withColumn("_n", F.row_number().over(per_bucket))
         .where(c("_n") <= k)
     )

@@ -240,7 +240,7 @@ def oracle_sql() -> dict[str, str]:
     model = cols(S.MODEL_COLUMNS, 8)
     dirty = ["latitude", "longitude", "clay_fraction_0_30", "organic_carbon_b0",
              "slope_deg_final", "elevation_m", "cs137_kBq_m2", "sr90_kBq_m2"]
-    env_plus = [n for n in S.feature_set("env_plus").features if n != S.RATIO]
+    env_plus = [n for n in S.feature_columns("env_plus") if n != S.RATIO]
     contributions = " UNION ALL ".join(
         f"""SELECT f.site_id, '{n}' AS feature, {i} AS place, f.{n} AS value,
         (f.{n} - s.mean) / s.std * {w} AS contribution

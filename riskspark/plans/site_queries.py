@@ -62,9 +62,8 @@ def coerce_and_clip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def cs_sr_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
-    spec = S.feature_set("env_plus")
     features = cleaning.real_features(
-        fixtures.real_sites(spark, sf_dir), spec.features, keep=["site_id"]
+        fixtures.real_sites(spark, sf_dir), S.feature_columns("env_plus"), keep=["site_id"]
     )
     return features.withColumn(S.RATIO, half_up(c(S.RATIO), 4))
 

@@ -53,7 +53,7 @@ def require_columns(df: DataFrame, required) -> DataFrame:
 
 
 def covers(df: DataFrame, feature_set: str, target: str = S.REAL_TARGET) -> bool:
-    return not missing_columns(df, S.feature_set(feature_set).required_columns(target))
+    return not missing_columns(df, {*S.feature_columns(feature_set), target})
 
 
 def upload_listing(spark: SparkSession, path: str) -> DataFrame:

@@ -87,15 +87,15 @@ def test_more_contamination_means_more_dose(spark):
 def test_ratio_of_input_wins(spark):
     given = spark.createDataFrame([(1, 50.0, 5.0, 3.0)], "site_id long, cs137_kBq_m2 double, "
                                   "sr90_kBq_m2 double, ratio_cs_sr double")
-    spec = S.feature_set("nuclide_only")
-    assert cleaning.real_features(given, spec.features).first()[S.RATIO] == 3.0
-    derived = cleaning.real_features(given.drop(S.RATIO), spec.features).first()[S.RATIO]
+    features = S.feature_columns("nuclide_only")
+    assert cleaning.real_features(given, features).first()[S.RATIO] == 3.0
+    derived = cleaning.real_features(given.drop(S.RATIO), features).first()[S.RATIO]
     assert derived == pytest.approx(10.0)
 
 
 def test_ratio_is_taken_before_clipping(spark):
     df = spark.createDataFrame([(-50.0, -5.0)], "cs137_kBq_m2 double, sr90_kBq_m2 double")
-    row = cleaning.real_features(df, S.feature_set("nuclide_only").features).first()
+    row = cleaning.real_features(df, S.feature_columns("nuclide_only")).first()
     assert row["cs137_kBq_m2"] == 0.0 and row[S.RATIO] == pytest.approx(10.0)
 
 
@@ -107,7 +107,7 @@ def test_real_features_name_missing_columns(spark):
 
 def test_unknown_feature_set():
     with pytest.raises(ValueError, match="env_only.*env_plus"):
-        S.feature_set("nope")
+        S.feature_columns("nope")
 
 
 def test_validation_rejects_extra_columns_and_bad_cells(spark):
@@ -183,7 +183,7 @@ def test_training_table_choice(spark):
     merged = joins.training_table(env, nuclides)
     for table in (zipped, merged):
         assert table.count() == 80
-        assert not missing_columns(table, S.feature_set().required_columns())
+        assert not missing_columns(table, {*S.feature_columns(), S.REAL_TARGET})
     repeated = nuclides.union(nuclides.limit(1))
     with pytest.raises(ValueError, match="not unique"):
         joins.training_table(env, repeated)
