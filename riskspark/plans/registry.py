@@ -68,7 +68,7 @@ _MODEL_KEYS = (
     "tree_shap",
 )
 
-_STREAM_KEYS = ("stream_scoring", "stream_ingest", "rate_limit_audit", "rate_limit_stream")
+_STREAM_KEYS = ("stream_scoring", "stream_ingest", "stream_ingest_restart", "rate_limit_audit", "rate_limit_stream")
 
 
 def _shipped(query: Query) -> Query:

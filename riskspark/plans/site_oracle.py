@@ -27,7 +27,7 @@ li AS (
          CAST(SUM(CAST(ROUND(l_discount * 100.0) AS BIGINT)) AS DOUBLE) / COUNT(*) / 100.0 AS disc,
          CAST(SUM(CAST(ROUND(l_tax * 100.0) AS BIGINT)) AS DOUBLE) / COUNT(*) / 100.0 AS tax
   FROM lineitem GROUP BY l_orderkey),
-sites AS (
+sites AS MATERIALIZED (
   SELECT o.o_orderkey AS site_id,
     o.o_totalprice / 3.0 - 500.0 AS contamination_bq_m2,
     li.qty * 2.2 AS soil_clay_pct,
@@ -140,7 +140,7 @@ def compared(source: str) -> str:
   vs AS (SELECT *, {DOSE} AS dose FROM vf),
   vd AS (SELECT site_id, scenario, scenario_seq, {half_up('greatest(dose, 0.0)', 4)} AS published,
            dose FROM vs),
-  vn AS (SELECT *, CASE WHEN dose IS NOT NULL THEN published END AS d4 FROM vd),
+  vn AS MATERIALIZED (SELECT *, CASE WHEN dose IS NOT NULL THEN published END AS d4 FROM vd),
   result AS (
     SELECT v.site_id, v.scenario, v.d4 AS dose_rate_usv_h, {band(1, 'v.dose')} AS risk_level,
       {half_up('v.d4 - b.d4', 4)} AS delta_vs_baseline_usv_h

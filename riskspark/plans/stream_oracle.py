@@ -20,15 +20,19 @@ w AS (
 SELECT event_id AS request_id, client, path, accepted FROM w"""
 
 
+INGESTED = f"""WITH RECURSIVE {chunk_ctes()},
+    r AS (SELECT *, row_number() OVER (PARTITION BY source, text
+      ORDER BY doc_id % 3, doc_id, chunk_index) AS k FROM chunks)
+    SELECT chunk_id, source, md5(text) AS text_md5 FROM r WHERE k = 1"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "stream_scoring": f"""WITH {SCORED}
             SELECT site_id, {half_up('dose', 4)} AS dose_rate_usv_h, {band(1)} AS risk_level,
               {band(2)} AS advisory FROM scored""",
-        "stream_ingest": f"""WITH RECURSIVE {chunk_ctes()},
-            r AS (SELECT *, row_number() OVER (PARTITION BY source, text
-              ORDER BY doc_id % 3, doc_id, chunk_index) AS k FROM chunks)
-            SELECT chunk_id, source, md5(text) AS text_md5 FROM r WHERE k = 1""",
+        "stream_ingest": INGESTED,
+        "stream_ingest_restart": INGESTED,
         "rate_limit_audit": RATE,
         "rate_limit_stream": RATE,
     }

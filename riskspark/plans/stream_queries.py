@@ -9,7 +9,7 @@ from riskspark import schema as S
 from riskspark.operators import rate_limit
 from riskspark.session import scratch_path
 from riskspark.sources import fixtures
-from riskspark.streaming.ingest import CHUNK_SCHEMA, ingest_stream, page_stream
+from riskspark.streaming.ingest import ingest_stream, page_stream, stored_chunks
 from riskspark.streaming.rate_limit import OUT, audit_stream
 from riskspark.streaming.scoring import score_stream, site_stream
 
@@ -32,12 +32,27 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = fixtures.page_texts(spark, sf_dir).withColumn("page", F.lit(None).cast("long"))
     for drop in (*range(DROPS), 0):
         part = pages.where(c("ingest_seq") % DROPS == drop)
-        part.coalesce(1).write.mode("append").parquet(arriving)
+        part.write.mode("append").parquet(arriving)
         ingest_stream(page_stream(spark, arriving), store, state).awaitTermination()
-    stored = spark.read.schema(f"{CHUNK_SCHEMA}, batch long").parquet(f"{store}/chunks")
+    return _contents(spark, store)
+
+
+def _contents(spark: SparkSession, store: str) -> DataFrame:
+    stored = stored_chunks(spark, store)
     return stored.select("chunk_id", "source", F.md5("text").alias("text_md5"))
 
 
+def stream_ingest_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each drop comes by a stream with a checkpoint of its own; the store keeps all."""
+    store = scratch_path(spark, "store")
+    pages = fixtures.page_texts(spark, sf_dir).withColumn("page", F.lit(None).cast("long"))
+    for drop in range(DROPS):
+        arriving, state = scratch_path(spark, "pages-in"), scratch_path(spark, "state")
+        pages.where(c("ingest_seq") % DROPS == drop).write.parquet(arriving)
+        ingest_stream(page_stream(spark, arriving), store, state).awaitTermination()
+    return _contents(spark, store)
+
+
 def rate_limit_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = fixtures.request_log(spark, sf_dir)
     return rate_limit.audit(log, DAY, F.lit(LIMIT).cast("long"))

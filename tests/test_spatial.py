@@ -197,3 +197,30 @@ def test_constant_feature_has_std_one(spark):
 
 def test_default_block_size():
     assert S.BLOCK_SIZE_DEG == 0.02 and S.CV_SPLITS == 5
+
+
+def test_cutoffs_end_on_equal_keys(spark):
+    rows = [(5,)] * 20 + [(i,) for i in range(100, 110)]
+    table = materialize(spark.createDataFrame(rows, "k long"), "equal")
+    ordered = sorted((r["h"], r["k"]) for r in table.select("k", ranking.shuffle_hash("k", 7).alias("h")).collect())
+    got = ranking.hash_cutoffs(table, "k", 7, [0, 12, 29], leaf_rows=5)
+    assert got == [ordered[i] for i in (0, 12, 29)]
+    with pytest.raises(ValueError, match="null"):
+        ranking.hash_cutoffs(spark.createDataFrame([(None,), (1,)], "k long"), "k", 7, [0])
+
+
+def test_unequal_tables_are_not_zipped(spark):
+    a, b = spark.range(10).toDF("x"), spark.range(7).toDF("y")
+    with pytest.raises(ValueError, match="10 and 7"):
+        joins.positional_zip(a, b, ["x"], ["y"])
+
+
+def test_rows_without_coordinates_are_set_aside(spark):
+    rows = [(1, 1.0, 2.0), (2, None, 2.0), (3, 1.0, None), (4, None, None)]
+    df = spark.createDataFrame(rows, "site_id long, latitude double, longitude double")
+    with pytest.raises(ValueError, match="coordinates"):
+        folds.with_blocks(df)
+    located, rest = folds.split_located(df)
+    assert [r["site_id"] for r in located.collect()] == [1]
+    assert sorted(r["site_id"] for r in rest.collect()) == [2, 3, 4]
+    assert folds.with_blocks(located).first()["block"] == "0_0"

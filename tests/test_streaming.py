@@ -11,7 +11,7 @@ from riskspark.operators import rate_limit, search
 from riskspark.operators.chunking import identified_chunks
 from riskspark.operators.search import build_index
 from riskspark.session import materialize
-from riskspark.streaming.ingest import ingest_stream, open_index, page_stream
+from riskspark.streaming.ingest import ingest_stream, open_index, page_stream, stored_chunks
 from riskspark.streaming.rate_limit import audit_stream
 from riskspark.streaming.scoring import score_stream, site_stream
 
@@ -93,6 +93,20 @@ def test_scoring_stream_goes_on_from_its_checkpoint(spark, tmp_path):
     assert {r["risk_level"] for r in rows} == {"Elevated"}
 
 
+def test_a_new_checkpoint_adds_to_the_store(spark, tmp_path):
+    store = str(tmp_path / "store")
+    schema = "ingest_seq long, source string, page long, text string"
+    for run, texts in enumerate((["Clay.", "Rain."], ["Rain.", "Slope."], ["Clay."])):
+        rows = [(10 * run + i, "s", None, t) for i, t in enumerate(texts)]
+        source = str(tmp_path / f"in{run}")
+        spark.createDataFrame(rows, schema).write.parquet(source)
+        state = str(tmp_path / f"state{run}")
+        ingest_stream(page_stream(spark, source), store, state).awaitTermination()
+    stored = stored_chunks(spark, store).collect()
+    assert sorted((r["ingest_seq"], r["text"]) for r in stored) == [
+        (0, "Clay."), (1, "Rain."), (11, "Slope.")]
+
+
 def test_ingested_index_equals_batch_index(spark, tmp_path):
     texts = ["Clay soil holds caesium.", "Rain moves sediment.", "Clay soil holds caesium.",
              "Steep slopes drain fast. Clay slows water."]
