@@ -50,7 +50,7 @@ class NearRules:
     miss: float = 1e-6
     batch: int = 48
     rounds: int = 1
-    block: int = 256
+    block: int = 512
 
     @property
     def size(self) -> int:
