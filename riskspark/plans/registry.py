@@ -35,6 +35,10 @@ _SITE_KEYS = (
     "nearest_layer_km",
     "scenario_compare",
     "scenario_requests",
+    "scenario_defaults",
+    "scenario_request_quarantine",
+    "csv_training_table",
+    "export_roundtrip",
     "dedup_scoring",
     "feature_stats",
     "holdout_metrics",
@@ -53,6 +57,8 @@ _TEXT_KEYS = (
     "term_stats",
     "tfidf_weights",
     "search_topk",
+    "search_topk_per_question",
+    "search_stored_index",
     "citations",
     "prompt_build",
     "evidence_answer",
@@ -68,7 +74,7 @@ _MODEL_KEYS = (
     "tree_shap",
 )
 
-_STREAM_KEYS = ("stream_scoring", "stream_ingest", "stream_ingest_restart", "rate_limit_audit", "rate_limit_stream")
+_STREAM_KEYS = ("stream_scoring", "stream_ingest", "stream_ingest_restart", "rate_limit_audit", "rate_limit_stream", "rate_limit_late")
 
 
 def _shipped(query: Query) -> Query:

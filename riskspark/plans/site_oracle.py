@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from riskspark import schema as S
-from riskspark.plans.site_queries import FIXED_IMPORTANCES, FOLD_BLOCK_DEG
+from riskspark.plans.site_queries import FIXED_IMPORTANCES, FOLD_BLOCK_DEG, LACKING
 from riskspark.sources.fixtures import SCENARIOS
 
 
@@ -147,7 +147,7 @@ def compared(source: str) -> str:
     FROM vn v JOIN vn b ON b.site_id = v.site_id AND b.scenario_seq = 0)"""
 
 
-def _variants() -> str:
+def _variants(source: str = "sites") -> str:
     selects = []
     for seq, (name, overrides) in enumerate((("Baseline", {}), *SCENARIOS)):
         changed = ", ".join(
@@ -155,7 +155,7 @@ def _variants() -> str:
             for n in S.BASE_COLUMNS
         )
         selects.append(
-            f"SELECT site_id, '{name}' AS scenario, {seq} AS scenario_seq, {changed} FROM sites"
+            f"SELECT site_id, '{name}' AS scenario, {seq} AS scenario_seq, {changed} FROM {source}"
         )
     return "variants AS (" + " UNION ALL ".join(selects) + ")"
 
@@ -236,6 +236,18 @@ g AS (
   FROM g JOIN ordered o ON o.k = g.k + 1)"""
 
 
+MERGED = f"""WITH {REAL}
+            SELECT site_id AS "Code", latitude, longitude, {', '.join(
+                n if n in ('clay_fraction_0_30', 'organic_carbon_b0', 'slope_deg_final',
+                           'elevation_m')
+                else f'CAST({S.REAL_DEFAULTS[n]} AS DOUBLE) AS {n}' for n in S.ENV_COLUMNS)},
+              latitude AS latitude_nuclide, cs137 AS "cs137_kBq_m2", sr90 AS "sr90_kBq_m2",
+              {', '.join(f'CAST({S.REAL_DEFAULTS[n]} AS DOUBLE) AS "{n}"'
+                         for n in S.NATURAL_NUCLIDES)},
+              cs137 AS target_dose_rate
+            FROM real_sites WHERE site_id % 11 <> 0 AND cs137 IS NOT NULL"""
+
+
 def oracle_sql() -> dict[str, str]:
     model = cols(S.MODEL_COLUMNS, 8)
     dirty = ["latitude", "longitude", "clay_fraction_0_30", "organic_carbon_b0",
@@ -298,16 +310,8 @@ def oracle_sql() -> dict[str, str]:
             SELECT doc_id, name, size, CASE WHEN lower(name) NOT LIKE '%.pdf' THEN 'not a pdf'
               WHEN size = 0 THEN 'empty' WHEN size > 26214400 THEN 'too large'
               ELSE 'admitted' END AS status FROM files""",
-        "keyed_merge": f"""WITH {REAL}
-            SELECT site_id AS "Code", latitude, longitude, {', '.join(
-                n if n in ('clay_fraction_0_30', 'organic_carbon_b0', 'slope_deg_final',
-                           'elevation_m')
-                else f'CAST({S.REAL_DEFAULTS[n]} AS DOUBLE) AS {n}' for n in S.ENV_COLUMNS)},
-              latitude AS latitude_nuclide, cs137 AS "cs137_kBq_m2", sr90 AS "sr90_kBq_m2",
-              {', '.join(f'CAST({S.REAL_DEFAULTS[n]} AS DOUBLE) AS "{n}"'
-                         for n in S.NATURAL_NUCLIDES)},
-              cs137 AS target_dose_rate
-            FROM real_sites WHERE site_id % 11 <> 0 AND cs137 IS NOT NULL""",
+        "keyed_merge": MERGED,
+        "csv_training_table": MERGED,
         "positional_zip": """WITH a AS (
               SELECT o_orderkey, o_custkey, row_number() OVER (ORDER BY o_orderkey) AS k FROM orders),
             b AS (SELECT o_totalprice, o_orderkey AS price_key,
@@ -316,6 +320,15 @@ def oracle_sql() -> dict[str, str]:
         "nearest_layer_km": NEAREST,
         "scenario_compare": f"""WITH {SITES}, {_variants()}, {compared('variants')}
             SELECT * FROM result""",
+        "scenario_defaults": f"""WITH {SITES}, lacking AS (
+              SELECT * REPLACE ({', '.join(
+                  f'CAST({S.BASE_DEFAULTS[n]} AS DOUBLE) AS {n}' for n in LACKING)}) FROM sites),
+            {_variants('lacking')}, {compared('variants')} SELECT * FROM result""",
+        "scenario_request_quarantine": f"""WITH {SITES}, {REQUESTS}
+            SELECT event_id AS site_id, name AS scenario, 'unknown site' AS reason FROM requests
+            WHERE unknown = '' AND name <> '' AND event_id NOT IN (SELECT site_id FROM sites)""",
+        "export_roundtrip": f"""WITH {SITES}, {_variants()}, {compared('variants')}
+            SELECT * FROM result""",
         "scenario_requests": f"""WITH {SITES}, {REQUESTS}, {_request_variants()},
             {compared('variants')} SELECT * FROM result""",
         "dedup_scoring": f"""WITH {SCORED}

@@ -7,14 +7,14 @@ from pyspark.sql import functions as F
 
 from riskspark import schema as S
 from riskspark.functions.features import base_features, equation_scorer
-from riskspark.functions.numeric import half_up
+from riskspark.functions.numeric import half_up, to_number
 from riskspark.functions.risk import classify
 from riskspark.functions.text import clean_source_name
 from riskspark.operators import cleaning, drivers, folds, joins, nearest, ranking, scenarios
 from riskspark.operators import statistics as stats
-from riskspark.session import materialize
-from riskspark.sources import fixtures
-from riskspark.sources.tables import parquet_table
+from riskspark.session import materialize, scratch_path
+from riskspark.sources import fixtures, sinks
+from riskspark.sources.tables import csv_table, parquet_table
 
 c = F.col
 FOLD_BLOCK_DEG = 0.5
@@ -118,8 +118,8 @@ def upload_admission(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def keyed_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Environment and nuclide tables, neither complete, joined on the record id."""
+def _partial_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Environment and nuclide tables, neither of which has all columns."""
     real = fixtures.real_sites(spark, sf_dir).withColumnRenamed("site_id", S.RECORD_ID)
     env = real.select(
         S.RECORD_ID, "latitude", "longitude", *(n for n in S.ENV_COLUMNS if n in real.columns)
@@ -132,10 +132,28 @@ def keyed_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
         .alias(S.REAL_TARGET),
     )
     nuclides = cleaning.fill_absent(nuclides, {n: S.REAL_DEFAULTS[n] for n in S.NUCLIDE_COLUMNS})
-    merged = joins.training_table(env, nuclides)
+    return env, nuclides
+
+
+def keyed_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both tables joined on the record id."""
+    merged = joins.training_table(*_partial_tables(spark, sf_dir))
     return cleaning.drop_missing_target(merged, S.REAL_TARGET)
 
 
+def csv_training_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same tables by way of CSV files, where every column is text."""
+    read = []
+    for table in _partial_tables(spark, sf_dir):
+        path = scratch_path(spark, "table-csv")
+        table.write.option("header", True).csv(path)
+        read.append(csv_table(spark, path))
+    merged = joins.training_table(*read)
+    numbers = [n for n in merged.columns if n != S.RECORD_ID]
+    kept = cleaning.drop_missing_target(cleaning.coerce(merged, numbers), S.REAL_TARGET)
+    return kept.withColumn(S.RECORD_ID, c(S.RECORD_ID).cast("long"))
+
+
 def positional_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = parquet_table(spark, sf_dir, "orders")
     left = orders.select("o_orderkey", "o_custkey")
@@ -160,6 +178,38 @@ def scenario_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+LACKING = ("distance_to_water_km", "population_density_km2")
+
+
+def scenario_defaults(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sites that lack columns which a scenario changes: defaults, then the override."""
+    sites = fixtures.sites(spark, sf_dir).drop(*LACKING)
+    compared = scenarios.compare_scenarios(sites, fixtures.SCENARIOS, equation_scorer)
+    return compared.select(
+        "site_id", "scenario", S.TARGET, "risk_level", "delta_vs_baseline_usv_h"
+    )
+
+
+def scenario_request_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Accepted requests for sites that don't exist."""
+    checked = cleaning.check_overrides(fixtures.scenario_requests(spark, sf_dir))
+    asked = checked.where("accepted").withColumn("site_id", c("event_id"))
+    lost = scenarios.requests_without_site(fixtures.sites(spark, sf_dir), asked)
+    return lost.select("site_id", c("name").alias("scenario"), "reason")
+
+
+def export_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scenario results written as CSV and read back."""
+    path = scratch_path(spark, "scenarios-csv")
+    sinks.write_scenarios(scenario_compare(spark, sf_dir), path)
+    back = csv_table(spark, path)
+    return back.select(
+        c("site_id").cast("long").alias("site_id"), "scenario",
+        to_number(c(S.TARGET)).alias(S.TARGET), "risk_level",
+        to_number(c("delta_vs_baseline_usv_h")).alias("delta_vs_baseline_usv_h"),
+    )
+
+
 def scenario_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Accepted event requests applied to the site with the event's number."""
     checked = cleaning.check_overrides(fixtures.scenario_requests(spark, sf_dir))

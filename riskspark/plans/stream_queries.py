@@ -10,7 +10,7 @@ from riskspark.operators import rate_limit
 from riskspark.session import scratch_path
 from riskspark.sources import fixtures
 from riskspark.streaming.ingest import ingest_stream, page_stream, stored_chunks
-from riskspark.streaming.rate_limit import OUT, audit_stream
+from riskspark.streaming.rate_limit import OUT, audit_stream, with_late
 from riskspark.streaming.scoring import score_stream, site_stream
 
 c = F.col
@@ -71,3 +71,21 @@ def rate_limit_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     query.awaitTermination()
     return spark.read.schema(OUT).parquet(sink)
+
+
+def rate_limit_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every 50th event comes when the watermark has long passed it, and is told so."""
+    arriving, sink, state = (scratch_path(spark, n) for n in ("log-in", "judged", "state"))
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    newest = events.agg(F.max("ts") - F.expr("INTERVAL 2 DAYS")).first()[0]
+    long_ago = c("ts") < F.lit(newest).cast("timestamp_ntz")
+    marked = events.withColumn("is_late", (c("event_id") % 50 == 0) & long_ago)
+    for late in (False, True):
+        part = marked.where(c("is_late") == late).drop("is_late")
+        part.write.mode("append").parquet(arriving)
+        stream = spark.readStream.schema(events.schema).parquet(arriving)
+        audit_stream(
+            fixtures.as_request_log(stream), sink, state, DAY, F.lit(LIMIT).cast("long"), "1 day"
+        ).awaitTermination()
+    judged = spark.read.schema(OUT).parquet(sink)
+    return with_late(fixtures.request_log(spark, sf_dir), judged)

@@ -112,6 +112,11 @@ def oracle_sql() -> dict[str, str]:
             SELECT chunk_id, term, {half_up('weight')} AS weight FROM postings""",
         "search_topk": f"""WITH RECURSIVE {hits(PLAIN_QUESTIONS)}
             SELECT query_id, rank, chunk_id, {half_up('score')} AS score FROM hits""",
+        "search_stored_index": f"""WITH RECURSIVE {hits(PLAIN_QUESTIONS)}
+            SELECT query_id, rank, chunk_id, {half_up('score')} AS score FROM hits""",
+        "search_topk_per_question": f"""WITH RECURSIVE {hits(PLAIN_QUESTIONS)}
+            SELECT query_id, rank, chunk_id, {half_up('score')} AS score FROM hits
+            WHERE rank <= 1 + query_id % 4""",
         "citations": f"""WITH RECURSIVE {hits(PLAIN_QUESTIONS)}
             SELECT query_id, rank, citation_id, source, page, {half_up('score', 4)} AS score, label
             FROM hits""",

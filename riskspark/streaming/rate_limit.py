@@ -17,6 +17,18 @@ from riskspark.operators.rate_limit import KEY, admit, counted_requests, limit_c
 OUT = "request_id long, client string, path string, accepted boolean"
 
 
+def with_late(log: DataFrame, judged: DataFrame, key: str = "request_id") -> DataFrame:
+    """Every counted request with its verdict; the stream's late ones have none and say so.
+
+    A stateful stream drops rows older than its watermark before any function sees
+    them, so they are found by what the sink lacks.
+    """
+    requests = counted_requests(log).select(key, *KEY)
+    return requests.join(judged.select(key, "accepted"), key, "left").withColumn(
+        "reason", F.when(F.col("accepted").isNull(), "late")
+    )
+
+
 def audit_stream(
     log: DataFrame,
     sink: str,
@@ -28,7 +40,8 @@ def audit_stream(
     """Judge requests as they arrive; state per key is at most ``limit`` accepted times.
 
     Rows of a batch are judged in time order; a row of a later batch is judged
-    on arrival. State is dropped once the window has passed the watermark.
+    on arrival, if it is not older than the watermark; ``with_late`` adds those that
+    are. State is dropped once the window has passed the watermark.
     """
     window = window_seconds * 1_000_000
     limits = limit_column() if limit is None else limit
