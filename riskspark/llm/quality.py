@@ -6,7 +6,7 @@ distinct texts of a host are removed; a document is depleted, and rejected, if l
 ``min_left`` of its characters remain.
 
 Defined cases: a null text is an empty one, has no words and is rejected; a null host is a host of
-its own; repeated rows are judged alike; an empty table gives an empty result; other columns pass
+its own; rows that share a doc_id are copies and judged alike; an empty table gives an empty result; other columns pass
 through ``clean_documents`` unchanged, whatever their names.
 """
 
@@ -85,35 +85,43 @@ def _with_word(lines: Column) -> Column:
     return F.filter(lines, lambda line: F.trim(line, F.lit(SPACES)) != "")
 
 
-def document_rules(docs: DataFrame, rules: QualityRules = QualityRules()) -> DataFrame:
-    """``doc_id`` with the counts of the rules on one text, and ``base_failed``."""
+def _counts() -> Column:
+    """The counts of the rules on one text, as a struct column."""
     text = whole("text")
-    counted = docs.select(
-        "doc_id",
-        let(
-            words_of(text),
-            lambda words: F.struct(
-                F.size(words).cast("long").alias("n"),
-                F.length(F.array_join(words, "")).cast("long").alias("chars"),
-                repeated_words(words).alias("r"),
-            ),
-        ).alias("w"),
+    counted = let(
+        words_of(text),
+        lambda words: F.struct(
+            F.size(words).cast("long").alias("n_words"),
+            F.length(F.array_join(words, "")).cast("long").alias("word_chars"),
+            repeated_words(words).alias("n_repeat_words"),
+        ),
+    )
+    lines = let(
+        _with_word(F.split(text, "\n")), lambda x: F.size(x) - F.size(F.array_distinct(x))
+    )
+    return F.struct(
+        counted.alias("w"),
         (F.size(F.split(text, SYMBOL)) - 1).cast("long").alias("n_symbols"),
-        let(
-            _with_word(F.split(text, "\n")), lambda x: F.size(x) - F.size(F.array_distinct(x))
-        )
-        .cast("long")
-        .alias("n_dup_lines"),
+        lines.cast("long").alias("n_dup_lines"),
+    )
+
+
+def _base_failed(n_words: Column, n_repeat_words: Column, rules: QualityRules) -> Column:
+    return (n_words < rules.min_words) | (
+        100 * n_repeat_words > rules.max_repeat_percent * n_words
     )
-    n, repeats = F.col("w.n"), F.col("w.r")
-    return counted.select(
+
+
+def document_rules(docs: DataFrame, rules: QualityRules = QualityRules()) -> DataFrame:
+    """``doc_id`` with the counts of the rules on one text, and ``base_failed``."""
+    return docs.select("doc_id", _counts().alias("c")).select(
         "doc_id",
-        n.alias("n_words"),
-        F.col("w.chars").alias("word_chars"),
-        "n_symbols",
-        "n_dup_lines",
-        repeats.alias("n_repeat_words"),
-        ((n < rules.min_words) | (100 * repeats > rules.max_repeat_percent * n)).alias(
+        F.col("c.w.n_words").alias("n_words"),
+        F.col("c.w.word_chars").alias("word_chars"),
+        F.col("c.n_symbols").alias("n_symbols"),
+        F.col("c.n_dup_lines").alias("n_dup_lines"),
+        F.col("c.w.n_repeat_words").alias("n_repeat_words"),
+        _base_failed(F.col("c.w.n_words"), F.col("c.w.n_repeat_words"), rules).alias(
             "base_failed"
         ),
     )
@@ -140,8 +148,9 @@ def _lines(docs: DataFrame) -> DataFrame:
         F.xxhash64(text).alias("text_hash"),
         F.length(text).alias("text_chars"),
         hashed.alias("lines"),
-    ).select("*", F.explode("lines").alias("line")).select(
-        "doc_id", "host", "no_host", "text_hash", "text_chars", "line.line_hash", "line.line_chars"
+    ).select("*", F.posexplode("lines").alias("place", "line")).select(
+        "doc_id", "host", "no_host", "text_hash", "text_chars", "place",
+        "line.line_hash", "line.line_chars",
     )
 
 
@@ -162,6 +171,8 @@ def removed_lines(docs: DataFrame, rules: QualityRules = QualityRules()) -> Data
     lines = _lines(docs).drop("text_hash")
     return (
         lines.join(frequent_lines(docs, rules), ["host", "no_host", "line_hash"])
+        .drop("n_docs")
+        .distinct()  # rows that share a doc_id are copies
         .groupBy("doc_id")
         .agg(
             F.count(F.lit(1)).alias("n_lines_removed"),
@@ -172,14 +183,17 @@ def removed_lines(docs: DataFrame, rules: QualityRules = QualityRules()) -> Data
     )
 
 
+def _depleted(n_chars_removed: Column, text_chars: Column, rules: QualityRules) -> Column:
+    return text_chars - n_chars_removed < rules.min_left * text_chars
+
+
 def quality(docs: DataFrame, rules: QualityRules = QualityRules()) -> DataFrame:
     """The counts of each document, what frequent lines take from it, and ``kept``."""
-    left = F.col("text_chars") - F.col("n_chars_removed")
     removed = removed_lines(docs, rules).select(
         "doc_id",
         "n_lines_removed",
         "n_chars_removed",
-        (left < rules.min_left * F.col("text_chars")).alias("depleted"),
+        _depleted(F.col("n_chars_removed"), F.col("text_chars"), rules).alias("depleted"),
     )
     nothing = {"n_lines_removed": 0, "n_chars_removed": 0, "depleted": False}
     return (
@@ -195,37 +209,40 @@ def clean_documents(docs: DataFrame, rules: QualityRules = QualityRules()) -> Da
 
     Texts that lose nothing stay byte for byte; ``n_chars`` follows a changed text.
     """
-    names = docs.columns
-    verdict = quality(docs, rules).where("kept").select(F.col("doc_id").alias("__quality_id"))
-    taken = removed_lines(docs, rules).select(
-        F.col("doc_id").alias("__quality_taken_id"), F.col("line_hashes").alias("__quality_hashes")
+    gone = removed_lines(docs, rules).select(
+        F.col("doc_id").alias("__quality_id"),
+        F.col("line_hashes").alias("__quality_hashes"),
+        _depleted(F.col("n_chars_removed"), F.col("text_chars"), rules).alias("__quality_low"),
     )
-    marked = verdict.join(taken, F.col("__quality_id") == F.col("__quality_taken_id"), "left").select(
-        "__quality_id", "__quality_hashes"
+    hashes, text = F.col("__quality_hashes"), whole("text")
+    words = let(
+        words_of(text),
+        lambda w: _base_failed(F.size(w).cast("long"), repeated_words(w), rules),
     )
-    text = whole("text")
     shorter = F.concat_ws(
         "\n",
         F.filter(
             F.split(text, "\n"),
             lambda line: (F.trim(line, F.lit(SPACES)) == "")
-            | ~F.array_contains(F.col("__quality_hashes"), line_hash(line)),
+            | ~F.array_contains(hashes, line_hash(line)),
         ),
     )
-    new_text = F.when(F.col("__quality_hashes").isNull(), F.col("text")).otherwise(shorter)
-    joined = docs.join(marked, F.col("doc_id") == F.col("__quality_id")).withColumn("__quality_text", new_text)
+    changed = hashes.isNotNull()
+    joined = (
+        docs.where(~words)
+        .join(gone, F.col("doc_id") == F.col("__quality_id"), "left")
+        .where(~F.coalesce("__quality_low", F.lit(False)))
+        .withColumn("__quality_text", F.when(changed, shorter).otherwise(F.col("text")))
+    )
     out = []
-    for name in names:
+    for name in docs.columns:
+        column = F.col(f"`{name}`")
         if name == "text":
-            out.append(F.col("__quality_text").alias("text"))
+            column = F.col("__quality_text")
         elif name == "n_chars":
-            changed = F.col("__quality_hashes").isNotNull()
-            kind = docs.schema["n_chars"].dataType
-            out.append(
-                F.when(changed, F.length("__quality_text").cast(kind)).otherwise(F.col(name)).alias(name)
-            )
-        else:
-            out.append(F.col(f"`{name}`"))
+            size = F.length("__quality_text").cast(docs.schema[name].dataType)
+            column = F.when(changed, size).otherwise(column)
+        out.append(column.alias(name))
     return joined.select(*out)
 
 

@@ -66,6 +66,12 @@ def test_frequent_lines(spark):
     assert clean[30]["text"] == texts[30]
     assert 34 not in clean
     assert quality.clean_documents(docs, rules).columns == docs.columns
+    nobody = spark.createDataFrame([(None, own[2], None, None, 9, "x")], DOCS)
+    twice = quality.clean_documents(docs.unionByName(docs).unionByName(nobody), rules)
+    assert twice.count() == 2 * len(clean) + 1
+    judged = quality.quality(docs.unionByName(docs), rules).collect()
+    assert len(judged) == 2 * len(texts)
+    assert all(r["n_lines_removed"] == got[r["doc_id"]]["n_lines_removed"] for r in judged)
 
 
 def test_copies_do_not_make_a_line_frequent(spark):
