@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from riskspark import schema as S
+from riskspark.operators.drivers import REPORT_DRIVERS
+from riskspark.operators.scenarios import BASELINE
 from riskspark.plans.site_queries import FIXED_IMPORTANCES, FOLD_BLOCK_DEG, LACKING
 from riskspark.sources.fixtures import SCENARIOS
 
@@ -248,17 +250,47 @@ MERGED = f"""WITH {REAL}
             FROM real_sites WHERE site_id % 11 <> 0 AND cs137 IS NOT NULL"""
 
 
-def oracle_sql() -> dict[str, str]:
-    model = cols(S.MODEL_COLUMNS, 8)
-    dirty = ["latitude", "longitude", "clay_fraction_0_30", "organic_carbon_b0",
-             "slope_deg_final", "elevation_m", "cs137_kBq_m2", "sr90_kBq_m2"]
-    env_plus = [n for n in S.feature_columns("env_plus") if n != S.RATIO]
+def contribution_ctes() -> str:
+    """CTEs ``st`` (moments) and ``l`` (contributions) over ``feat``."""
+    stats = _unpivot("avg({n}) AS mean, stddev_samp({n}) AS std")
     contributions = " UNION ALL ".join(
         f"""SELECT f.site_id, '{n}' AS feature, {i} AS place, f.{n} AS value,
         (f.{n} - s.mean) / s.std * {w} AS contribution
         FROM feat f JOIN st s ON s.feature = '{n}'"""
         for i, (n, w) in enumerate(FIXED_IMPORTANCES.items())
     )
+    return f"st AS MATERIALIZED ({stats}), l AS ({contributions})"
+
+
+def report_ctes() -> str:
+    """CTEs ``told`` (scenarios) and ``why`` (drivers): Markdown lists per site."""
+
+    def number(value: str) -> str:
+        return f"printf('%.3f', floor({value} * 1000 + 0.5) / 1000)"
+
+    return f"""{SITES}, {features('sites', 'feat')}, {contribution_ctes()},
+      ranked_drivers AS (SELECT *, row_number() OVER (PARTITION BY site_id
+        ORDER BY abs(contribution) DESC, place) AS driver_rank FROM l WHERE contribution IS NOT NULL),
+      why AS (SELECT site_id, max(feature) FILTER (WHERE driver_rank = 1) AS strongest,
+        string_agg('- ' || feature || ' = ' || {number('value')} || CASE WHEN contribution >= 0
+          THEN ' increases risk' ELSE ' decreases risk' END, chr(10) ORDER BY driver_rank) AS drivers
+        FROM ranked_drivers WHERE driver_rank <= {REPORT_DRIVERS} GROUP BY site_id),
+      {_variants()}, {compared('variants')},
+      told AS (SELECT site_id,
+        max(dose_rate_usv_h) FILTER (WHERE scenario = '{BASELINE}') AS dose,
+        max(risk_level) FILTER (WHERE scenario = '{BASELINE}') AS level,
+        string_agg('- ' || scenario || ' -> ' || {number('dose_rate_usv_h')} || ' uSv/h, '
+          || risk_level || ' (' || CASE WHEN delta_vs_baseline_usv_h < 0 THEN '' ELSE '+' END
+          || {number('delta_vs_baseline_usv_h')} || ')', chr(10) ORDER BY list_position(
+          {['Baseline', *(n for n, _ in SCENARIOS)]}, scenario)) AS lines
+        FROM result GROUP BY site_id)"""
+
+
+def oracle_sql() -> dict[str, str]:
+    model = cols(S.MODEL_COLUMNS, 8)
+    dirty = ["latitude", "longitude", "clay_fraction_0_30", "organic_carbon_b0",
+             "slope_deg_final", "elevation_m", "cs137_kBq_m2", "sr90_kBq_m2"]
+    env_plus = [n for n in S.feature_columns("env_plus") if n != S.RATIO]
     stats = _unpivot("avg({n}) AS mean, stddev_samp({n}) AS std")
     medians = ", ".join(
         f"coalesce({n}, (SELECT median({n}) FROM feat)) AS {n}" for n in S.MODEL_COLUMNS
@@ -366,8 +398,7 @@ def oracle_sql() -> dict[str, str]:
         "standardize": f"""WITH {SITES}, {features('sites', 'feat')},
             z AS (SELECT site_id, {scaled} FROM feat)
             SELECT site_id, {cols(S.MODEL_COLUMNS)} FROM z""",
-        "importance_drivers": f"""WITH {SITES}, {features('sites', 'feat')}, st AS ({stats}),
-            l AS ({contributions}),
+        "importance_drivers": f"""WITH {SITES}, {features('sites', 'feat')}, {contribution_ctes()},
             r AS (SELECT *, row_number() OVER (PARTITION BY site_id
               ORDER BY abs(contribution) DESC, place) AS driver_rank
               FROM l WHERE contribution IS NOT NULL)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from riskspark import schema as S
 from riskspark.functions.text import ENGLISH_STOP_WORDS
 from riskspark.operators.answers import EVIDENCE_LEAD, NO_EVIDENCE, PROMPT_RULES
+from riskspark.plans.site_oracle import report_ctes
 from riskspark.plans.site_oracle import half_up
 
 SPACES = r"[\s\x0b\x1c-\x1f\x85\p{Z}]+"
@@ -94,6 +95,38 @@ def quoted(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
 
+def report_sql(snippet: str) -> str:
+    """The report of every site, put together from scenarios, drivers and answers."""
+    band = " ".join(f"WHEN '{label}' THEN {quoted(text)}" for _, label, text in S.RISK_BANDS)
+    urgent = ", ".join(quoted(label) for _, label, _ in S.RISK_BANDS[-2:])
+    return f"""WITH RECURSIVE {hits(PLAIN_QUESTIONS)}, {report_ctes()},
+      a AS (SELECT query_id, string_agg(citation_id, ', ' ORDER BY rank) AS cited,
+        string_agg({snippet}, ' ' ORDER BY rank) FILTER (WHERE rank <= {S.SNIPPETS}) AS found
+        FROM hits GROUP BY query_id),
+      answered AS (SELECT query_id, coalesce(cited, '') AS cited,
+        coalesce({quoted(EVIDENCE_LEAD)} || found, {quoted(NO_EVIDENCE)}) AS answer
+        FROM questions LEFT JOIN a USING (query_id)),
+      parts AS (SELECT t.site_id, level, drivers, lines, answer, cited,
+        CASE WHEN level IS NULL THEN 'Level: unknown.' ELSE 'Level: **' || level || '** at '
+          || printf('%.3f', floor(dose * 1000 + 0.5) / 1000) || ' uSv/h. '
+          || CASE level {band} END END AS head,
+        CASE WHEN level IS NULL THEN '- Complete the record; it has no dose rate.'
+          WHEN level IN ({urgent}) THEN '- Have the site reviewed before the next survey.' END AS step1,
+        '- Measure ' || strongest || ' again; it weighs most.' AS step2,
+        CASE WHEN coalesce(cited, '') = '' THEN
+          '- Store a document that covers the question.' END AS step3
+        FROM told t LEFT JOIN why USING (site_id)
+        LEFT JOIN answered ON query_id = t.site_id % (SELECT count(*) FROM benchmark))
+      SELECT site_id, '# Site ' || site_id || chr(10) || chr(10) || head
+        || chr(10) || chr(10) || '## Drivers' || chr(10) || coalesce(drivers, 'Not explained.')
+        || chr(10) || chr(10) || '## What if' || chr(10) || coalesce(lines, '')
+        || chr(10) || chr(10) || '## Documents' || chr(10) || coalesce(answer
+          || CASE WHEN cited <> '' THEN ' Sources: ' || cited ELSE '' END, 'Not asked.')
+        || chr(10) || chr(10) || '## To do' || chr(10)
+        || coalesce(nullif(concat_ws(chr(10), step1, step2, step3), ''), '- None.') || chr(10)
+        AS report_markdown FROM parts"""
+
+
 def oracle_sql() -> dict[str, str]:
     snippet = f"""citation_id || ' ' || CASE WHEN length(text) > {S.SNIPPET_CHARS}
       THEN rtrim(substr(text, 1, {S.SNIPPET_CHARS - 3})) || '...' ELSE text END"""
@@ -112,6 +145,7 @@ def oracle_sql() -> dict[str, str]:
             SELECT chunk_id, term, {half_up('weight')} AS weight FROM postings""",
         "search_topk": f"""WITH RECURSIVE {hits(PLAIN_QUESTIONS)}
             SELECT query_id, rank, chunk_id, {half_up('score')} AS score FROM hits""",
+        "risk_report": report_sql(snippet),
         "search_stored_index": f"""WITH RECURSIVE {hits(PLAIN_QUESTIONS)}
             SELECT query_id, rank, chunk_id, {half_up('score')} AS score FROM hits""",
         "search_topk_per_question": f"""WITH RECURSIVE {hits(PLAIN_QUESTIONS)}
