@@ -26,6 +26,7 @@ _SITE_KEYS = (
     "coerce_and_clip",
     "cs_sr_ratio",
     "validate_quarantine",
+    "advanced_validate",
     "scenario_override_check",
     "question_validation",
     "source_name_clean",

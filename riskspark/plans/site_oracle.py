@@ -110,9 +110,18 @@ def real_column(name: str) -> str:
     return f"{clip(source, *S.REAL_CLIP.get(name, (None, None)))} AS {name}"
 
 
-def rule_checks() -> str:
+def raw_column(name: str) -> str:
+    """A real-profile column before clipping, or its default."""
+    source = {"cs137_kBq_m2": "cs137", "sr90_kBq_m2": "sr90"}.get(name, name)
+    held = {"clay_fraction_0_30", "organic_carbon_b0", "slope_deg_final", "elevation_m"}
+    if name in held | {"latitude", "longitude", "cs137_kBq_m2", "sr90_kBq_m2"}:
+        return f"{source} AS {name}"
+    return f"CAST({S.REAL_DEFAULTS[name]} AS DOUBLE) AS {name}"
+
+
+def rule_checks(rules=S.BASE_RULES) -> str:
     parts = []
-    for name, (low, high) in S.BASE_RULES.items():
+    for name, (low, high) in rules.items():
         whens = f"WHEN {name} IS NULL THEN '{name}: missing'"
         if low is not None:
             whens += f" WHEN {name} < {low} THEN '{name}: below {low:g}'"
@@ -321,6 +330,11 @@ def oracle_sql() -> dict[str, str]:
               SELECT site_id, {rule_checks()} AS errors FROM sites)
             SELECT site_id, CASE WHEN errors = '' THEN 'clean' ELSE 'quarantined' END AS status,
               errors FROM checked""",
+        "advanced_validate": f"""WITH {REAL}, filled AS (
+              SELECT site_id, {', '.join(map(raw_column, S.REAL_RULES))} FROM real_sites),
+            checked AS (SELECT site_id, {rule_checks(S.REAL_RULES)} AS errors FROM filled)
+            SELECT site_id, CASE WHEN errors = '' THEN 'clean' ELSE 'quarantined' END AS status,
+              errors FROM checked""",
         "scenario_override_check": f"""WITH {REQUESTS}
             SELECT event_id, name, unknown,
               (unknown = '' AND length(name) BETWEEN 1 AND 100) AS accepted FROM requests""",
