@@ -67,8 +67,24 @@ def ship_package(spark: SparkSession) -> None:
     _SHIPPED.add(context.applicationId)
 
 
+def _scratch_dir(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/riskspark/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/riskspark/{name}-{uuid.uuid4().hex}"
+    """A new place in the shared folder, below a folder of this application."""
+    return f"{_scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def remove_scratch(spark: SparkSession) -> None:
+    """Delete all that this application wrote to its scratch places.
+
+    For the end of a job, when no result that reads from them is needed any more.
+    """
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(_scratch_dir(spark))
+    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files.delete(path, True)
 
 
 def materialize(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:

@@ -1,6 +1,7 @@
 from pyspark.sql import functions as F
 
 from riskspark import schema as S
+from riskspark import session
 from riskspark.functions.features import equation_scorer
 from riskspark.functions.risk import classify
 from riskspark.operators import scenarios
@@ -60,3 +61,12 @@ def test_advanced_profile_scenarios(spark):
     rows = scenarios.compare_scenarios(sites, [("More", {"cs137_kBq_m2": 80.0})], scorer, "real")
     got = {r["scenario"]: (r[S.TARGET], r["delta_vs_baseline_usv_h"]) for r in rows.collect()}
     assert got == {"Baseline": (0.274, 0.0), "More": (0.8, 0.526)}
+
+
+def test_scratch_is_removed(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(session, "shared_dir", lambda _: str(tmp_path))
+    path = session.scratch_path(spark, "t")
+    spark.range(3).write.parquet(path)
+    assert spark.read.parquet(path).count() == 3
+    session.remove_scratch(spark)
+    assert not (tmp_path / "riskspark" / spark.sparkContext.applicationId).exists()
