@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from riskspark import schema as S
@@ -47,7 +48,12 @@ def test_shared_dir_comes_from_the_session(spark):
     given = _Session("/some/shared/place/")
     assert shared_dir(given) == "/some/shared/place" and given.made is None
     own = _Session(None)
+    own.sparkContext.master = "local[2]"
     assert shared_dir(own) == own.made == shared_dir(own)
+    far = _Session(None)
+    far.sparkContext.master = "spark://host:7077"
+    with pytest.raises(RuntimeError, match="checkpoint.dir"):
+        shared_dir(far)
     assert shared_dir(spark) == shared_dir(spark)
 
 
