@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskspark.llm import chat, decontaminate, licenses, lm_scores, mixing, near, quality, repeats, token_counts, toxicity
+from riskspark.llm import chat, decontaminate, duplicate_oracle, licenses, lm_scores, mixing, near, quality, repeats, token_counts, toxicity
 from riskspark.llm.runtime import prepare
 from riskspark.sources.tables import parquet_table
 
@@ -86,4 +86,6 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op1_license_scan": licenses.oracle_sql(),
         "op2_quality_rules": quality.ORACLE,
+        "op5_minhash_near_dedup": duplicate_oracle.near_duplicates_sql(),
+        "op8_suffix_dedup": duplicate_oracle.repeats_sql(),
     }
