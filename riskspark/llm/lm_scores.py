@@ -31,18 +31,17 @@ from riskspark.llm import textbytes as tb
 from riskspark.llm.graph import BROADCAST_IDS
 from riskspark.session import materialize
 
-_BLOOM_BITS = 27
-_BUCKET_BITS = 15
+_BLOOM_BITS = 26
 
 
 @dataclass(frozen=True)
 class LmRules:
     """Vocabulary, bigram cut-off, discount, and the bigrams sent to each task."""
 
-    vocabulary: int = 200_000
+    vocabulary: int = 100_000
     least: int = 3
     discount: float = 0.75
-    head: int = 1_000_000
+    head: int = 250_000
 
 
 def _training(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -146,6 +145,12 @@ class Tables:
     before: np.ndarray
 
 
+def _columns(rows: DataFrame) -> dict[str, np.ndarray]:
+    """A table of bounded size on the driver, by column."""
+    table = rows.toArrow()
+    return {name: table.column(name).to_numpy() for name in table.column_names}
+
+
 def _ratio(target, back):
     return np.log(target) - np.log(back)
 
@@ -160,17 +165,17 @@ def models(training: DataFrame, rules: LmRules) -> tuple[Tables, DataFrame]:
         .orderBy(F.desc("n"), "key")
         .limit(rules.vocabulary)
         .select("key", "t", "b")
-        .toPandas()
     )
+    chosen = _columns(chosen)
     whole = counted.agg(F.sum("t"), F.sum("b")).first()
-    hashes = chosen["key"].to_numpy(np.int64).view(np.uint64)
+    hashes = chosen["key"].view(np.uint64)
     order = np.argsort(hashes)
     vocabulary = hashes[order]
     size = len(vocabulary) + 1
     unigram = []
     for side, total in (("t", whole[0] or 0), ("b", whole[1] or 0)):
         counts = np.zeros(size)
-        counts[1:] = chosen[side].to_numpy()[order]
+        counts[1:] = chosen[side][order]
         counts[0] = total - counts.sum()
         unigram.append((counts + 1) / (total + size))
     shared = spark.sparkContext.broadcast(vocabulary)
@@ -191,14 +196,13 @@ def models(training: DataFrame, rules: LmRules) -> tuple[Tables, DataFrame]:
             F.when(kept, F.greatest(F.col(side) - F.lit(rules.discount), F.lit(0.0))).otherwise(0.0)
         )
 
-    contexts = (
-        pairs.groupBy(before)
-        .agg(
+    contexts = _columns(
+        pairs.groupBy(before).agg(
             F.sum("t").alias("t"), F.sum("b").alias("b"),
             left("t").alias("kept_t"), left("b").alias("kept_b"),
         )
-        .toPandas()
     )
+    shared.unpersist()
     totals, back_off = [], []
     for side in ("t", "b"):
         total, mass = np.zeros(size), np.zeros(size)
@@ -225,8 +229,11 @@ def models(training: DataFrame, rules: LmRules) -> tuple[Tables, DataFrame]:
                 names=["key", "value", "n"],
             )
 
-    entries = pairs.where(kept).mapInArrow(values, "key long, value double, n long")
-    return tables, materialize(entries, "entries")
+    entries = materialize(
+        pairs.where(kept).mapInArrow(values, "key long, value double, n long"), "entries"
+    )
+    bundle.unpersist()
+    return tables, entries
 
 
 def _places(keys: np.ndarray) -> list[np.ndarray]:
@@ -254,8 +261,8 @@ def _bloom(keys: DataFrame) -> np.ndarray:
         .agg(F.bit_or(F.expr("shiftleft(1L, cast(place & 63 as int))")).alias("bits"))
     )
     out = np.zeros(1 << (_BLOOM_BITS - 6), dtype=np.uint64)
-    found = words.toPandas()
-    out[found["word"].to_numpy(np.int64)] = found["bits"].to_numpy(np.int64).view(np.uint64)
+    found = _columns(words)
+    out[found["word"]] = found["bits"].view(np.uint64)
     return out
 
 
@@ -272,18 +279,19 @@ def scores(docs: DataFrame, labels: DataFrame, rules: LmRules = LmRules()) -> Da
     training = _training(docs, labels)
     tables, entries = models(training, rules)
     ranked = entries.orderBy(F.desc("n"), "key").limit(rules.head)
-    head = ranked.select("key", "value", "n").toPandas()
+    head = _columns(ranked.select("key", "value", "n"))
+    size = len(head["key"])
     # Ties at the end of the head are parted by key.
-    edge = (int(head["n"].min()), int(head.loc[head["n"] == head["n"].min(), "key"].max())) if len(head) else (0, 0)
+    least = int(head["n"].min()) if size else 0
+    edge = (least, int(head["key"][head["n"] == least].max()) if size else 0)
     tail = entries.where(
         (F.col("n") < edge[0]) | ((F.col("n") == edge[0]) & (F.col("key") > edge[1]))
     )
-    if len(head) < rules.head:
+    if size < rules.head:
         tail = tail.limit(0)
     bloom = _bloom(tail)
-    order = np.argsort(head["key"].to_numpy(np.int64))
-    keys = head["key"].to_numpy(np.int64)[order]
-    corrections = head["value"].to_numpy(np.float64)[order]
+    order = np.argsort(head["key"])
+    keys, corrections = head["key"][order], head["value"][order]
     bundle = spark.sparkContext.broadcast((tables, keys, corrections, bloom))
     out = pa.schema(
         [
