@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from riskspark.models.extra_trees import fit_extra_trees
 from riskspark.models.forest import fit_forest
 from riskspark.models.ridge import fit_ridge
-from riskspark.operators.statistics import exact_medians
+from riskspark.operators.statistics import grouped_medians
 
 DEFAULT_MODEL = "extra_trees"
 
@@ -77,7 +77,10 @@ def fit_models(
     if name == "extra_trees":
         if params["max_features"] != 1.0:
             raise ValueError("extra_trees looks at all features of a node")
-        medians = {k: exact_medians(train_rows(k), features) for k in held_out}
+        others = {
+            k: F.lit(True) if k is None else F.col("fold") != k for k in held_out
+        }
+        medians = grouped_medians(df, features, others)
         return fit_extra_trees(
             df,
             features,

@@ -171,7 +171,16 @@ def test_medians_bracketed_and_direct(spark):
     expected = {n: np.nanmedian([np.nan if r[i] is None else r[i] for r in rows])
                 for i, n in enumerate(data)}
     assert stats.exact_medians(df, list(data)) == pytest.approx(expected)
-    assert stats.exact_medians(df, list(data), rows=50) == pytest.approx(expected)
+    assert stats.exact_medians(df, list(data), leaf=3) == pytest.approx(expected)
+    groups = {"low": F.col("d") < 1.0, "all": F.lit(True), "pair": F.col("d") == 1.5}
+    by_group = stats.grouped_medians(df, ["a", "d"], groups, leaf=2)
+    assert by_group["all"] == pytest.approx({n: expected[n] for n in ("a", "d")})
+    for key, kept in (("low", lambda r: r[3] < 1.0), ("pair", lambda r: r[3] == 1.5)):
+        for i, n in ((0, "a"), (3, "d")):
+            some = [np.nan if r[i] is None else r[i] for r in rows if kept(r)]
+            assert by_group[key][n] == pytest.approx(np.nanmedian(some))
+    huge = spark.createDataFrame([(v,) for v in (-1e308, 1e308, 1e-300, 5e-324, 0.0)], "x double")
+    assert stats.exact_medians(huge, ["x"], leaf=1) == {"x": 5e-324}
     with pytest.raises(ValueError, match="no values"):
         stats.exact_medians(df.withColumn("e", F.lit(None).cast("double")), ["e"])
 
