@@ -2,7 +2,7 @@
 
 A line is normalised (lower case, no blanks around it), hashed, and counted once for each distinct
 text of its host, so copies of one document count as one. Lines in more than ``max_line_docs``
-distinct texts of a host are removed; a document is depleted, and rejected, if less than
+distinct texts of a host, and more than a share ``max_line_share`` of them, are removed; a document is depleted, and rejected, if less than
 ``min_left`` of its characters remain.
 
 Defined cases: a null text is an empty one, has no words and is rejected; a null host is a host of
@@ -30,6 +30,7 @@ class QualityRules:
     min_words: int = 10
     max_repeat_percent: int = 20
     max_line_docs: int = 20
+    max_line_share: float = 0.01
     min_left: float = 0.1
 
 
@@ -132,6 +133,13 @@ def line_hash(line: Column) -> Column:
     return F.xxhash64(F.trim(F.lower(line), F.lit(SPACES)))
 
 
+def _host() -> tuple[Column, Column]:
+    return (
+        F.coalesce(F.col("source").cast("string"), F.lit("")).alias("host"),
+        F.col("source").isNull().alias("no_host"),
+    )
+
+
 def _lines(docs: DataFrame) -> DataFrame:
     """A row for each line with a word: its hash and characters."""
     text = whole("text")
@@ -143,8 +151,7 @@ def _lines(docs: DataFrame) -> DataFrame:
     )
     return docs.select(
         "doc_id",
-        F.coalesce(F.col("source").cast("string"), F.lit("")).alias("host"),
-        F.col("source").isNull().alias("no_host"),
+        *_host(),
         F.xxhash64(text).alias("text_hash"),
         F.length(text).alias("text_chars"),
         hashed.alias("lines"),
@@ -156,6 +163,12 @@ def _lines(docs: DataFrame) -> DataFrame:
 
 def frequent_lines(docs: DataFrame, rules: QualityRules = QualityRules()) -> DataFrame:
     """``host, no_host, line_hash, n_docs`` of lines in too many distinct texts of a host."""
+    hosts = (
+        docs.select(*_host(), F.xxhash64(whole("text")).alias("text_hash"))
+        .distinct()
+        .groupBy("host", "no_host")
+        .agg(F.count(F.lit(1)).alias("n_texts"))
+    )
     return (
         _lines(docs)
         .select("host", "no_host", "line_hash", "text_hash")
@@ -163,6 +176,9 @@ def frequent_lines(docs: DataFrame, rules: QualityRules = QualityRules()) -> Dat
         .groupBy("host", "no_host", "line_hash")
         .agg(F.count(F.lit(1)).alias("n_docs"))
         .where(F.col("n_docs") > rules.max_line_docs)
+        .join(hosts, ["host", "no_host"])
+        .where(F.col("n_docs") > rules.max_line_share * F.col("n_texts"))
+        .drop("n_texts")
     )
 
 
@@ -262,7 +278,9 @@ ln AS (SELECT doc_id, source, th, length(text) AS tc, unnest(ls) AS line FROM w)
 nl AS (SELECT doc_id, source, th, tc, length(line) AS lc,
         trim(lower(line), chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS norm
        FROM ln WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
-f AS (SELECT source, norm FROM nl GROUP BY source, norm HAVING count(DISTINCT th) > 20),
+ht AS (SELECT source, count(DISTINCT th) AS n_texts FROM w GROUP BY source),
+f AS (SELECT q.source, norm FROM (SELECT source, norm, count(DISTINCT th) AS n FROM nl GROUP BY source, norm) q
+       JOIN ht ON q.source IS NOT DISTINCT FROM ht.source WHERE n > 20 AND n > 0.01 * n_texts),
 t AS (SELECT doc_id, count(*) AS nr, sum(lc) AS lr, max(tc) AS tc FROM nl JOIN f
        ON nl.source IS NOT DISTINCT FROM f.source AND nl.norm = f.norm GROUP BY doc_id),
 x AS (SELECT c.doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars,

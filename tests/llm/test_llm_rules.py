@@ -74,6 +74,16 @@ def test_frequent_lines(spark):
     assert all(r["n_lines_removed"] == got[r["doc_id"]]["n_lines_removed"] for r in judged)
 
 
+def test_a_small_share_of_a_host_is_no_boilerplate(spark):
+    texts = [f"a line that some share\nown words of number {i}" for i in range(8)]
+    texts += [f"other words of number {i}" for i in range(32)]
+    docs = frame(spark, texts)
+    for share, removed in ((0.1, 8), (0.2, 0)):
+        rules = quality.QualityRules(max_line_docs=5, max_line_share=share, min_words=1)
+        rows = quality.quality(docs, rules).collect()
+        assert sum(r["n_lines_removed"] for r in rows) == removed
+
+
 def test_copies_do_not_make_a_line_frequent(spark):
     text = "\n".join(" ".join(f"l{k}w{j}" for j in range(8)) for k in range(5))
     docs = frame(spark, [text] * 60)
