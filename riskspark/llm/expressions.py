@@ -26,16 +26,8 @@ def ascii_lower(text: Column) -> Column:
     return F.translate(text, _UPPER, _UPPER.lower())
 
 
-def matches_of(text: Column, pattern: str) -> Column:
-    return F.regexp_extract_all(text, F.lit(f"({pattern})"), F.lit(1))
-
-
 def words_of(text: Column) -> Column:
     """The runs of characters that are not ASCII white space, in order."""
     inner = F.trim(text, F.lit(SPACES))
     none = F.array().cast("array<string>")
     return F.when(inner == "", none).otherwise(F.split(inner, r"[\x20\x09-\x0D]+"))
-
-
-def without(text: Column, characters: str) -> Column:
-    return F.translate(text, characters, "")

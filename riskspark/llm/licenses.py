@@ -136,6 +136,12 @@ def _rarest(scan: LicenceScan, rank: dict[str, int]) -> list[tuple]:
     return rows
 
 
+def _blocks_of(at: Column, scan: LicenceScan) -> Column:
+    """Numbers of the blocks that hold the word at a place."""
+    first = F.ceil((at - (scan.block - 1)) / scan.step).cast("int")
+    return F.sequence(F.greatest(F.lit(0), first), F.floor(at / scan.step).cast("int"))
+
+
 def block_matches(docs: DataFrame, scan: LicenceScan = LicenceScan()) -> DataFrame:
     """``doc_id, start, n_words, label, template, containment`` of every matching block."""
     spark = docs.sparkSession
@@ -165,16 +171,7 @@ def block_matches(docs: DataFrame, scan: LicenceScan = LicenceScan()) -> DataFra
             "words",
             F.array_distinct(
                 F.flatten(
-                    F.transform(
-                        "ats",
-                        lambda at: F.sequence(
-                            F.greatest(
-                                F.lit(0),
-                                F.ceil((at - (scan.block - 1)) / scan.step).cast("int"),
-                            ),
-                            F.floor(at / scan.step).cast("int"),
-                        ),
-                    )
+                    F.transform("ats", lambda at: _blocks_of(at, scan))
                 )
             ).alias("numbers"),
         )

@@ -7,8 +7,8 @@ many rounds as asked for, with other leaders); links make components, and a buck
 all in one component is done. What is left, pairs of different components within a bucket, is compared block
 by block, so that no task holds more than two blocks and no pair of them is missed.
 
-Blocks hold the texts too, so survivors are verified there, and links within what a block has already
-joined are left out: rows grow with the members of a bucket, not with its pairs.
+Blocks hold the texts too, so survivors are verified there, and links within what a block has
+already joined are left out: rows grow with the members of a bucket, not with its pairs.
 
 Comparing a pair is sequential: the signatures are read batch by batch, and the pair is dropped as
 soon as the posterior probability that its similarity reaches the threshold (uniform prior,
@@ -36,6 +36,7 @@ from riskspark.llm.graph import components, with_ids, without_ids
 from riskspark.session import materialize
 
 _MULTIPLY = (tb.mix(np.arange(1, 4097, dtype=np.uint64)) >> np.uint64(32)).astype(np.uint32) | 1
+_OTHER = np.uint64(0xA5A5A5A5A5A5A5A5)
 _ADD = (tb.mix(np.arange(5001, 9097, dtype=np.uint64)) >> np.uint64(32)).astype(np.uint32)
 
 
@@ -103,7 +104,7 @@ def signatures(docs: DataFrame, rules: NearRules) -> DataFrame:
                 for shingles in tb.shingle_sets(part.column("text"), rules.shingle):
                     sizes.append(len(shingles))
                     one.append(int(shingles.sum(dtype=np.uint64)))
-                    two.append(int(tb.mix(shingles ^ np.uint64(0xA5A5A5A5A5A5A5A5)).sum(dtype=np.uint64)))
+                    two.append(int(tb.mix(shingles ^ _OTHER).sum(dtype=np.uint64)))
                     sigs.append(signature(shingles, rules.size) if len(shingles) else None)
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -378,10 +379,13 @@ def _links(docs: DataFrame, classes: DataFrame, rules: NearRules) -> DataFrame:
     shared = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
     members = materialize(rows.join(shared.select("key"), "key"), "members")
     taking_part = materialize(members.select(F.col("doc").alias("doc_id")).distinct(), "ids")
+    own = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")
+    )
     texts = materialize(
-        with_ids(
-            docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")), taking_part, "doc_id"
-        ).groupBy(F.col("doc_id").alias("doc")).agg(F.min("text").alias("text")),
+        with_ids(own, taking_part, "doc_id")
+        .groupBy(F.col("doc_id").alias("doc"))
+        .agg(F.min("text").alias("text")),
         "texts",
     )
     signed = materialize(classes.select("doc", "sig").join(texts, "doc"), "signed")
@@ -418,7 +422,11 @@ def _links(docs: DataFrame, classes: DataFrame, rules: NearRules) -> DataFrame:
     grouped = materialize(grouped, "grouped")
     still = (
         grouped.groupBy("key")
-        .agg(F.count(F.lit(1)).alias("n"), F.min("component").alias("low"), F.max("component").alias("high"))
+        .agg(
+            F.count(F.lit(1)).alias("n"),
+            F.min("component").alias("low"),
+            F.max("component").alias("high"),
+        )
         .where(F.col("low") < F.col("high"))
     )
     return materialize(links.unionByName(cross_links(grouped, still, signed, rules)), "links")
