@@ -2,14 +2,14 @@
 
 The target model learns from documents labelled good and not toxic; the background model from as
 much text of the other documents, drawn by a hash (matched sizes). Both are bigram
-models with absolute discounting over one vocabulary: the ``vocabulary`` most frequent words of what
-the two learn from; every other word is <unk>. Bigrams seen fewer than ``least`` times in both
+models with absolute discounting over one vocabulary: the most frequent words of what the two learn
+from, at most ``vocabulary`` and equally frequent ones together; every other word is <unk>. Bigrams seen fewer than ``least`` times in both
 together back off. A document's score is its mean loss per word under the target model minus that
 under the background model; the lower, the more like the target.
 
 The difference of the two losses is a sum of table values: one for the word, one for the word before
 it, and a correction if the bigram is in the models. The first two tables have the size of the
-vocabulary, and the ``head`` most frequent bigrams a fixed size: they go to the tasks. All further
+vocabulary, and the most frequent bigrams, at most ``head``, a fixed size: they go to the tasks. All further
 bigrams, which grow with the corpus, are joined: a filter of a fixed size spares most of those that
 are in no model, so only documents' rarer modelled bigrams are shuffled.
 
@@ -145,6 +145,20 @@ class Tables:
     before: np.ndarray
 
 
+def least_of_top(rows: DataFrame, k: int) -> int:
+    """The count ``n`` from which on at most ``k`` rows have it or more.
+
+    Counts that sum up to M have at most sqrt(2 M) different values.
+    """
+    above, least = 0, None
+    for r in sorted(rows.groupBy("n").count().collect(), key=lambda r: -r["n"]):
+        above += r["count"]
+        if above > k:
+            break
+        least = r["n"]
+    return least if least is not None else (1 << 62)
+
+
 def _columns(rows: DataFrame) -> dict[str, np.ndarray]:
     """A table of bounded size on the driver, by column."""
     table = rows.toArrow()
@@ -160,13 +174,9 @@ def models(training: DataFrame, rules: LmRules) -> tuple[Tables, DataFrame]:
     spark = training.sparkSession
     rows = _matched(training)
     counted = materialize(word_counts(rows), "words")
-    chosen = (
-        counted.withColumn("n", F.col("t") + F.col("b"))
-        .orderBy(F.desc("n"), "key")
-        .limit(rules.vocabulary)
-        .select("key", "t", "b")
-    )
-    chosen = _columns(chosen)
+    counted = counted.withColumn("n", F.col("t") + F.col("b"))
+    frequent = F.col("n") >= least_of_top(counted, rules.vocabulary)
+    chosen = _columns(counted.where(frequent).select("key", "t", "b"))
     whole = counted.agg(F.sum("t"), F.sum("b")).first()
     hashes = chosen["key"].view(np.uint64)
     order = np.argsort(hashes)
@@ -278,17 +288,9 @@ def scores(docs: DataFrame, labels: DataFrame, rules: LmRules = LmRules()) -> Da
     spark = docs.sparkSession
     training = _training(docs, labels)
     tables, entries = models(training, rules)
-    ranked = entries.orderBy(F.desc("n"), "key").limit(rules.head)
-    head = _columns(ranked.select("key", "value", "n"))
-    size = len(head["key"])
-    # Ties at the end of the head are parted by key.
-    least = int(head["n"].min()) if size else 0
-    edge = (least, int(head["key"][head["n"] == least].max()) if size else 0)
-    tail = entries.where(
-        (F.col("n") < edge[0]) | ((F.col("n") == edge[0]) & (F.col("key") > edge[1]))
-    )
-    if size < rules.head:
-        tail = tail.limit(0)
+    in_head = F.col("n") >= least_of_top(entries, rules.head)
+    head = _columns(entries.where(in_head).select("key", "value"))
+    tail = entries.where(~in_head)
     bloom = _bloom(tail)
     order = np.argsort(head["key"])
     keys, corrections = head["key"][order], head["value"][order]

@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from riskspark.llm import lm_scores, mixing, toxicity
-from riskspark.llm import textbytes as tb
 
 FOLDER = "/root/testdata/sf0.01"
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, epoch string"
@@ -102,8 +101,12 @@ def _brute_scores(training, rules):
     for r in chosen:
         uni[not r["target"]].update(words(r["text"]))
     every = uni[0] + uni[1]
-    number = lambda w: int(tb.word_hashes(pa.array([w.decode()]))[0].view(np.int64)[0])
-    known = set(sorted(every, key=lambda w: (-every[w], number(w)))[: rules.vocabulary])
+    known = set()
+    for n in sorted(set(every.values()), reverse=True):
+        equal = {w for w, c in every.items() if c == n}
+        if len(known) + len(equal) > rules.vocabulary:
+            break
+        known |= equal
     ids = lambda t: [w if w in known else b"" for w in words(t)]
     pairs = [Counter(), Counter()]
     for r in chosen:
