@@ -41,7 +41,7 @@ class LmRules:
     vocabulary: int = 100_000
     least: int = 3
     discount: float = 0.75
-    head: int = 500_000
+    head: int = 50_000
 
 
 def _training(docs: DataFrame, labels: DataFrame) -> DataFrame:
