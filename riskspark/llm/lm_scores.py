@@ -2,8 +2,8 @@
 
 The target model learns from documents labelled good and not toxic; the background model from as
 much text of the other documents, drawn by a hash (matched sizes). Both are bigram
-models with absolute discounting over one vocabulary: the most frequent words of what the two learn
-from, at most ``vocabulary`` and equally frequent ones together; every other word is <unk>. Bigrams seen fewer than ``least`` times in both
+models with absolute discounting over one vocabulary: the ``vocabulary`` most frequent words of what
+the two learn from, equally frequent ones by their hash; every other word is <unk>. Bigrams seen fewer than ``least`` times in both
 together back off. A document's score is its mean loss per word under the target model minus that
 under the background model; the lower, the more like the target.
 
@@ -24,7 +24,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskspark.llm import textbytes as tb
@@ -38,7 +38,7 @@ _BLOOM_BITS = 26
 class LmRules:
     """Vocabulary, bigram cut-off, discount, and the bigrams sent to each task."""
 
-    vocabulary: int = 100_000
+    vocabulary: int = 200_000
     least: int = 3
     discount: float = 0.75
     head: int = 50_000
@@ -159,6 +159,26 @@ def least_of_top(rows: DataFrame, k: int) -> int:
     return least if least is not None else (1 << 62)
 
 
+def in_top(rows: DataFrame, k: int) -> Column:
+    """Whether a row is one of the ``k`` of the highest ``n``, equal ones by the lowest ``key``.
+
+    The place among equal ones comes from counts of hash prefixes, then from the keys of one prefix.
+    """
+    n, key = F.col("n"), F.col("key")
+    least = least_of_top(rows, k)
+    room = k - rows.where(n >= least).count()
+    edge = rows.where(n < least).agg(F.max("n")).first()[0]
+    if room <= 0 or edge is None:
+        return n >= least
+    tied, prefix = rows.where(n == edge), F.shiftright("key", 48)
+    for r in sorted(tied.groupBy(prefix.alias("prefix")).count().collect()):
+        if r["count"] >= room:
+            break
+        room -= r["count"]
+    own = sorted(x["key"] for x in tied.where(prefix == r["prefix"]).select("key").collect())
+    return (n >= least) | ((n == edge) & (key <= own[room - 1]))
+
+
 def _columns(rows: DataFrame) -> dict[str, np.ndarray]:
     """A table of bounded size on the driver, by column."""
     table = rows.toArrow()
@@ -175,8 +195,7 @@ def models(training: DataFrame, rules: LmRules) -> tuple[Tables, DataFrame]:
     rows = _matched(training)
     counted = materialize(word_counts(rows), "words")
     counted = counted.withColumn("n", F.col("t") + F.col("b"))
-    frequent = F.col("n") >= least_of_top(counted, rules.vocabulary)
-    chosen = _columns(counted.where(frequent).select("key", "t", "b"))
+    chosen = _columns(counted.where(in_top(counted, rules.vocabulary)).select("key", "t", "b"))
     whole = counted.agg(F.sum("t"), F.sum("b")).first()
     hashes = chosen["key"].view(np.uint64)
     order = np.argsort(hashes)

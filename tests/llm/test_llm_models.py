@@ -173,6 +173,16 @@ def test_scores_equal_brute_force(spark, head):
     assert all(r["score"] == 0.0 for r in nobody.collect())
 
 
+def test_vocabulary_is_filled_from_equally_frequent_words(spark):
+    docs = frame(spark, [(0, "a a a b b b " + " ".join(f"tied{i}" for i in range(40)), "s")])
+    labels = spark.createDataFrame([(0, 1, 0)], "doc_id long, quality int, toxic int")
+    training = lm_scores._training(docs, labels)
+    for cap, size in ((1, 1), (2, 2), (25, 25), (42, 42), (99, 42)):
+        tables, _ = lm_scores.models(training, lm_scores.LmRules(vocabulary=cap))
+        assert len(tables.vocabulary) == size
+    assert lm_scores.LmRules().vocabulary >= 200_000
+
+
 def test_toxicity_on_held_out_rows(spark):
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
     labels = spark.read.parquet(f"{FOLDER}/labels.parquet")
