@@ -1,7 +1,9 @@
 """Cross-entropy difference of two matched n-gram models.
 
-The target model learns from documents labelled good and not toxic; the background model from as
-much text of the other documents, drawn by a hash (matched sizes). Both are bigram
+The target model learns from documents labelled good and not toxic, the background model from the
+others. With ``whole``, as in the query, words and bigrams of all documents are counted, and the
+background's counts are scaled down to the number of the target's words (matched sizes); without it,
+the background is as much text of the other documents, drawn by a hash. Both are bigram
 models with absolute discounting over one vocabulary: the ``vocabulary`` most frequent words of what
 the two learn from, equally frequent ones by their hash; every other word is <unk>. Bigrams seen fewer than ``least`` times in both
 together back off. A document's score is its mean loss per word under the target model minus that
@@ -36,12 +38,13 @@ _BLOOM_BITS = 26
 
 @dataclass(frozen=True)
 class LmRules:
-    """Vocabulary, bigram cut-off, discount, and the bigrams sent to each task."""
+    """Vocabulary, bigram cut-off, discount, bigrams sent to each task, and if all documents count."""
 
     vocabulary: int = 200_000
     least: int = 3
     discount: float = 0.75
     head: int = 50_000
+    whole: bool = False
 
 
 def _training(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -192,21 +195,23 @@ def _ratio(target, back):
 def models(training: DataFrame, rules: LmRules) -> tuple[Tables, DataFrame]:
     """The tables of the vocabulary's size, and ``key, value, n`` of the bigrams."""
     spark = training.sparkSession
-    rows = _matched(training)
+    rows = training.select("text", "target") if rules.whole else _matched(training)
     counted = materialize(word_counts(rows), "words")
     counted = counted.withColumn("n", F.col("t") + F.col("b"))
     chosen = _columns(counted.where(in_top(counted, rules.vocabulary)).select("key", "t", "b"))
-    whole = counted.agg(F.sum("t"), F.sum("b")).first()
+    n_target, n_back = (x or 0 for x in counted.agg(F.sum("t"), F.sum("b")).first())
+    scale = min(1.0, n_target / n_back) if rules.whole and n_back else 1.0
+    weights = {"t": 1.0, "b": scale}
     hashes = chosen["key"].view(np.uint64)
     order = np.argsort(hashes)
     vocabulary = hashes[order]
     size = len(vocabulary) + 1
     unigram = []
-    for side, total in (("t", whole[0] or 0), ("b", whole[1] or 0)):
+    for side, total in (("t", n_target), ("b", n_back)):
         counts = np.zeros(size)
         counts[1:] = chosen[side][order]
         counts[0] = total - counts.sum()
-        unigram.append((counts + 1) / (total + size))
+        unigram.append((weights[side] * counts + 1) / (weights[side] * total + size))
     shared = spark.sparkContext.broadcast(vocabulary)
 
     def count_bigrams(batches):
@@ -221,8 +226,9 @@ def models(training: DataFrame, rules: LmRules) -> tuple[Tables, DataFrame]:
     kept = F.col("t") + F.col("b") >= rules.least
 
     def left(side: str):
+        count = F.col(side) * F.lit(weights[side])
         return F.sum(
-            F.when(kept, F.greatest(F.col(side) - F.lit(rules.discount), F.lit(0.0))).otherwise(0.0)
+            F.when(kept, F.greatest(count - F.lit(rules.discount), F.lit(0.0))).otherwise(0.0)
         )
 
     contexts = _columns(
@@ -235,7 +241,7 @@ def models(training: DataFrame, rules: LmRules) -> tuple[Tables, DataFrame]:
     totals, back_off = [], []
     for side in ("t", "b"):
         total, mass = np.zeros(size), np.zeros(size)
-        total[contexts["before"]] = contexts[side]
+        total[contexts["before"]] = weights[side] * contexts[side]
         mass[contexts["before"]] = contexts[f"kept_{side}"]
         totals.append(total)
         back_off.append(np.where(total > 0, 1 - mass / np.maximum(total, 1), 1.0))
@@ -249,7 +255,7 @@ def models(training: DataFrame, rules: LmRules) -> tuple[Tables, DataFrame]:
             key, t, b = (batch.column(c).to_numpy() for c in ("key", "t", "b"))
             u, w = key >> 32, key & 0xFFFFFFFF
             both = []
-            for side, counts in enumerate((t, b)):
+            for side, counts in enumerate((t, scale * b)):
                 seen = np.maximum(counts - rules.discount, 0) / np.maximum(totals[side][u], 1)
                 lower = back_off[side][u] * unigram[side][w]
                 both.append(np.log(seen + lower) - np.log(lower))

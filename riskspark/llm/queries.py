@@ -38,8 +38,11 @@ def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both models learn from all documents."""
     return lm_scores.scores(
-        parquet_table(spark, sf_dir, "documents"), parquet_table(spark, sf_dir, "labels")
+        parquet_table(spark, sf_dir, "documents"),
+        parquet_table(spark, sf_dir, "labels"),
+        lm_scores.LmRules(whole=True),
     )
 
 

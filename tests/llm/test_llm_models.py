@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from riskspark.llm import lm_scores, mixing, toxicity
+from riskspark.llm import lm_scores, mixing, queries, toxicity
 
 FOLDER = "/root/testdata/sf0.01"
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, epoch string"
@@ -173,6 +173,63 @@ def test_scores_equal_brute_force(spark, head):
     assert all(r["score"] == 0.0 for r in nobody.collect())
 
 
+def _whole_scores(training, rules):
+    """Scores of models whose background counts are all counted, then scaled."""
+    words = lambda t: (t or "").encode().lower().split()
+    uni, pairs = [Counter(), Counter()], [Counter(), Counter()]
+    for r in training:
+        own = words(r["text"])
+        uni[not r["target"]].update(own)
+        pairs[not r["target"]].update(zip(own, own[1:], strict=False))
+    size, both = len(uni[0] + uni[1]) + 1, pairs[0] + pairs[1]
+    scales = [1.0, min(1.0, uni[0].total() / uni[1].total())]
+
+    def p(side, a, b):
+        scale = scales[side]
+        low = (scale * uni[side][b] + 1) / (scale * uni[side].total() + size)
+        if a is None:
+            return low
+        own = [(x, scale * c) for x, c in pairs[side].items() if x[0] == a]
+        total = sum(c for _, c in own)
+        mass = sum(max(c - rules.discount, 0) for x, c in own if both[x] >= rules.least)
+        low *= max(1e-6, 1 - mass / max(total, 1)) if total else 1.0
+        if both[a, b] < rules.least:
+            return low
+        return max(scale * pairs[side][a, b] - rules.discount, 0) / max(total, 1) + low
+
+    out = {}
+    for r in training:
+        own = words(r["text"])
+        gain = sum(
+            math.log(p(0, a, b)) - math.log(p(1, a, b))
+            for a, b in zip([None, *own[:-1]], own, strict=False)
+        )
+        out[r["doc_id"]] = -gain / len(own) if own else 0.0
+    return out
+
+
+def test_every_document_counts(spark, monkeypatch):
+    pick = random.Random(4)
+    rows = [
+        (i, " ".join(pick.choice("abcd" if i < 8 else "cdefgh") for _ in range(30)), "s")
+        for i in range(80)
+    ] + [(90, None, "s")]
+    docs = frame(spark, rows)
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(8)], "doc_id long, quality int, toxic int")
+    rules = lm_scores.LmRules(head=5, whole=True)
+    training = lm_scores._training(docs, labels).collect()
+    expected = _whole_scores(training, rules)
+    got = {r["doc_id"]: r["score"] for r in lm_scores.scores(docs, labels, rules).collect()}
+    assert got == pytest.approx(expected, abs=1e-9)
+    nobody = lm_scores.scores(docs, labels.limit(0), rules).collect()
+    assert all(r["score"] == 0.0 for r in nobody)
+    # The query's rules are those.
+    seen = []
+    monkeypatch.setattr(lm_scores, "scores", lambda d, x, rules=lm_scores.LmRules(): seen.append(rules))
+    queries.op6_lm_scores(spark, FOLDER)
+    assert seen[0].whole
+
+
 def test_vocabulary_is_filled_from_equally_frequent_words(spark):
     docs = frame(spark, [(0, "a a a b b b " + " ".join(f"tied{i}" for i in range(40)), "s")])
     labels = spark.createDataFrame([(0, 1, 0)], "doc_id long, quality int, toxic int")
