@@ -15,9 +15,14 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def rule_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejected documents go; the others lose their frequent lines."""
+    """Rejected documents go; the others lose their frequent lines.
+
+    Near copies count as one text, so near-dedup still finds one of each group.
+    """
     prepare(spark)
-    return quality.clean_documents(docs)
+    judged = materialize(near.near_duplicates(docs), "near-groups")
+    groups = materialize(quality.near_groups(docs, judged), "quality-groups")
+    return quality.clean_documents(docs, groups=groups)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -3,7 +3,8 @@
 A line is normalised (lower case, no blanks around it), hashed, and counted once for each distinct
 text of its host, so copies of one document count as one. Lines in more than ``max_line_docs``
 distinct texts of a host, and more than a share ``max_line_share`` of them, are removed; a document is depleted, and rejected, if less than
-``min_left`` of its characters remain.
+``min_left`` of its characters remain. With ``groups`` of near copies, as in the pipeline, a group counts
+as one text wherever texts are counted, so near copies do not make their own lines frequent.
 
 Defined cases: a null text is an empty one, has no words and is rejected; a null host is a host of
 its own; rows that share a doc_id are copies and judged alike; an empty table gives an empty result; other columns pass
@@ -161,18 +162,58 @@ def _lines(docs: DataFrame) -> DataFrame:
     )
 
 
-def frequent_lines(docs: DataFrame, rules: QualityRules = QualityRules()) -> DataFrame:
+def near_groups(docs: DataFrame, near: DataFrame) -> DataFrame:
+    """``text_hash, group`` of the texts that have near copies.
+
+    ``near`` has ``doc_id, n_shingles, component_id``; texts without shingles have no near copies.
+    """
+    texts = docs.where("doc_id is not null").select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(whole("text")).alias("text_hash")
+    )
+    of_text = (
+        near.where("doc_id is not null and n_shingles > 0")
+        .select("doc_id", "component_id")
+        .distinct()
+        .join(texts.distinct(), "doc_id")
+        .groupBy("text_hash")
+        .agg(F.min("component_id").alias("component_id"))
+    )
+    shared = of_text.groupBy("component_id").count().where(F.col("count") > 1)
+    return of_text.join(shared, "component_id").select(
+        "text_hash", F.xxhash64(F.lit("group"), "component_id").alias("group")
+    )
+
+
+def _collapsed(texts: DataFrame, groups: DataFrame | None) -> DataFrame:
+    """Rows with near copies as one text."""
+    if groups is None:
+        return texts.distinct()
+    known = texts.distinct().join(groups, "text_hash", "left")
+    return known.withColumn("text_hash", F.coalesce("group", "text_hash")).drop("group").distinct()
+
+
+def frequent_lines(
+    docs: DataFrame, rules: QualityRules = QualityRules(), groups: DataFrame | None = None
+) -> DataFrame:
     """``host, no_host, line_hash, n_docs`` of lines in too many distinct texts of a host."""
     hosts = (
-        docs.select(*_host(), F.xxhash64(whole("text")).alias("text_hash"))
-        .distinct()
+        _collapsed(docs.select(*_host(), F.xxhash64(whole("text")).alias("text_hash")), groups)
         .groupBy("host", "no_host")
         .agg(F.count(F.lit(1)).alias("n_texts"))
     )
+    lines = _lines(docs).select("host", "no_host", "line_hash", "text_hash")
+    if groups is not None:
+        # Only lines in enough texts can be in enough groups.
+        many = (
+            lines.distinct()
+            .groupBy("host", "no_host", "line_hash")
+            .agg(F.count(F.lit(1)).alias("n_docs"))
+            .where(F.col("n_docs") > rules.max_line_docs)
+            .drop("n_docs")
+        )
+        lines = lines.join(many, ["host", "no_host", "line_hash"], "left_semi")
     return (
-        _lines(docs)
-        .select("host", "no_host", "line_hash", "text_hash")
-        .distinct()
+        _collapsed(lines, groups)
         .groupBy("host", "no_host", "line_hash")
         .agg(F.count(F.lit(1)).alias("n_docs"))
         .where(F.col("n_docs") > rules.max_line_docs)
@@ -182,11 +223,13 @@ def frequent_lines(docs: DataFrame, rules: QualityRules = QualityRules()) -> Dat
     )
 
 
-def removed_lines(docs: DataFrame, rules: QualityRules = QualityRules()) -> DataFrame:
+def removed_lines(
+    docs: DataFrame, rules: QualityRules = QualityRules(), groups: DataFrame | None = None
+) -> DataFrame:
     """A row for each document that loses lines: their hashes, number and characters."""
     lines = _lines(docs).drop("text_hash")
     return (
-        lines.join(frequent_lines(docs, rules), ["host", "no_host", "line_hash"])
+        lines.join(frequent_lines(docs, rules, groups), ["host", "no_host", "line_hash"])
         .drop("n_docs")
         .distinct()  # rows that share a doc_id are copies
         .groupBy("doc_id")
@@ -220,12 +263,14 @@ def quality(docs: DataFrame, rules: QualityRules = QualityRules()) -> DataFrame:
     )
 
 
-def clean_documents(docs: DataFrame, rules: QualityRules = QualityRules()) -> DataFrame:
+def clean_documents(
+    docs: DataFrame, rules: QualityRules = QualityRules(), groups: DataFrame | None = None
+) -> DataFrame:
     """The kept documents without their frequent lines, in the columns of ``docs``.
 
     Texts that lose nothing stay byte for byte; ``n_chars`` follows a changed text.
     """
-    gone = removed_lines(docs, rules).select(
+    gone = removed_lines(docs, rules, groups).select(
         F.col("doc_id").alias("__quality_id"),
         F.col("line_hashes").alias("__quality_hashes"),
         _depleted(F.col("n_chars_removed"), F.col("text_chars"), rules).alias("__quality_low"),

@@ -322,6 +322,26 @@ def test_pipeline(spark):
     assert {r["doc_id"] for r in drawn.collect()} == rows["mixing"]
 
 
+def test_pipeline_keeps_one_of_many_near_copies(spark):
+    def lines(name, n):
+        return [" ".join(f"{name}l{k}w{j}" for j in range(12)) for k in range(n)]
+
+    def variants(name, n):
+        whole = lines(name, 10)
+        return ["\n".join([*whole[: i % 10], f"{whole[i % 10]} edit{i}", *whole[i % 10 + 1 :]]) for i in range(n)]
+
+    banner = "we use cookies on this site"
+    texts = [(t, "a") for t in variants("few", 30)] + [(t, "b") for t in variants("third", 60)]
+    texts += [("\n".join([banner, *lines(f"own{i}", 2)]), "b") for i in range(120)]
+    docs = frame(spark, [(i, t, s) for i, (t, s) in enumerate(texts)])
+    clean = corpus_pipeline.rule_quality(spark, docs, FOLDER)
+    after = {r["doc_id"]: r["text"] for r in clean.collect()}
+    assert all(after[i] == texts[i][0] for i in range(90))
+    assert all(after[i] == texts[i][0].removeprefix(banner + "\n") for i in range(90, 210))
+    left = {r["doc_id"] for r in corpus_pipeline.near_dedup(spark, clean, FOLDER).collect()}
+    assert left == {0, 30, *range(90, 210)}
+
+
 def test_pipeline_without_documents(spark):
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet").where(F.lit(False))
     for _, stage in corpus_pipeline.STAGES:
