@@ -342,6 +342,15 @@ def test_pipeline_keeps_one_of_many_near_copies(spark):
     assert left == {0, 30, *range(90, 210)}
 
 
+def test_pipeline_line_limit_is_alike_in_large_hosts(spark):
+    banner = "we use cookies on this site"
+    own = [" ".join(f"d{i}w{j}" for j in range(14)) for i in range(3000)]
+    texts = [f"{banner}\n{t}" if i < 25 else t for i, t in enumerate(own)]
+    docs = frame(spark, [(i, t, "a") for i, t in enumerate(texts)])
+    clean = corpus_pipeline.rule_quality(spark, docs, FOLDER).collect()
+    assert {r["doc_id"]: r["text"] for r in clean} == dict(enumerate(own))
+
+
 def test_pipeline_without_documents(spark):
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet").where(F.lit(False))
     for _, stage in corpus_pipeline.STAGES:
