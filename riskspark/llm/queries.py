@@ -55,7 +55,7 @@ def op7_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
         "conv_id long, turn long, role string, text string",
     )
     rows = parquet_table(spark, sf_dir, "conversations").select(*names).unionByName(more)
-    return chat.read_back(chat.chat_windows(rows))
+    return chat.read_back(chat.chat_windows(rows, chat.ChatRules(always_system=True)))
 
 
 def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -211,6 +211,20 @@ def test_chat_windows(spark):
     assert chat.read_back(chat.chat_windows(frame.limit(0))).count() == 0
 
 
+@pytest.mark.parametrize("size", [10, 40, 90])
+def test_a_long_system_turn_stays(size):
+    rules = chat.ChatRules(budget=60, history=20, always_system=True)
+    turns = [("system", "s " * size)] + [(r, f"{r} {i} " * 6) for i in range(9) for r in ("user", "assistant")]
+    state = chat._fresh()
+    windows = list(chat.windows_of(turns, rules, state))
+    while (window := chat._next_window(state, rules, last=True)) is not None:
+        windows.append(window)
+    read = [chat.read_window(w["text"]) for w in windows]
+    assert len(windows) > 3 and all(x[0] == turns[0] for x in read)
+    assert [t for w, x in zip(windows, read, strict=True) for t in x[w["n_context"] :]] == turns
+    assert all(w["n_tokens"] <= rules.budget or w["n_new"] == 1 for w in windows)
+
+
 def _greedy(word, pieces):
     count, at, allowed = 0, 0, pieces.begin
     while at < len(word):
