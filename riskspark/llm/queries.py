@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskspark.llm import chat, decontaminate, duplicate_oracle, licenses, lm_scores, mixing, near, quality, repeats, token_counts, toxicity
+from riskspark.llm import chat, decontaminate, duplicate_oracle, licenses, lm_scores, mixing, near, prefix_trie, quality, repeats, sharding, spelling, token_counts, toxicity
 from riskspark.llm.runtime import prepare
+from riskspark.session import materialize
 from riskspark.sources.tables import parquet_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -72,6 +73,21 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(parquet_table(spark, sf_dir, "documents"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(parquet_table(spark, sf_dir, "documents"))
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations with the heads of their families."""
+    rows = prefix_trie.sequences(parquet_table(spark, sf_dir, "conversations"))
+    seqs = materialize(rows, "conversation-turns")
+    return prefix_trie.prefix_trie(prefix_trie.with_family_heads(seqs))
+
+
+def op13_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.number(parquet_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
     """Each query by name, on a prepared session."""
 
@@ -82,7 +98,7 @@ def queries() -> dict[str, Query]:
 
         return run
 
-    return {q.__name__: shipped(q) for q in (op1_license_scan, op2_quality_rules, op3_decontamination, op4_source_mixing, op5_minhash_near_dedup, op6_lm_scores, op7_chat_formatting, op8_suffix_dedup, op9_toxicity, op10_token_counts)}
+    return {q.__name__: shipped(q) for q in (op1_license_scan, op2_quality_rules, op3_decontamination, op4_source_mixing, op5_minhash_near_dedup, op6_lm_scores, op7_chat_formatting, op8_suffix_dedup, op9_toxicity, op10_token_counts, op11_spelling_variants, op12_prefix_trie, op13_sharding)}
 
 
 def oracle_sql() -> dict[str, str]:
@@ -91,4 +107,7 @@ def oracle_sql() -> dict[str, str]:
         "op2_quality_rules": quality.ORACLE,
         "op5_minhash_near_dedup": duplicate_oracle.near_duplicates_sql(),
         "op8_suffix_dedup": duplicate_oracle.repeats_sql(),
+        "op11_spelling_variants": spelling.oracle_sql(),
+        "op12_prefix_trie": prefix_trie.oracle_sql(),
+        "op13_sharding": sharding.oracle_sql(),
     }
