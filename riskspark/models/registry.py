@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskspark.models.extra_trees import fit_extra_trees
-from riskspark.models.forest import fit_forest
+from riskspark.models.forest import fit_forests
 from riskspark.models.ridge import fit_ridge
 from riskspark.operators.statistics import grouped_medians
 
@@ -74,37 +74,18 @@ def fit_models(
     def train_rows(fold):
         return df if fold is None else df.where(F.col("fold") != fold)
 
-    if name == "extra_trees":
-        if params["max_features"] != 1.0:
-            raise ValueError("extra_trees looks at all features of a node")
+    if name in ("extra_trees", "random_forest"):
         others = {
             k: F.lit(True) if k is None else F.col("fold") != k for k in held_out
         }
         medians = grouped_medians(df, features, others)
-        return fit_extra_trees(
-            df,
-            features,
-            target,
-            medians,
-            params["n_estimators"],
-            params["max_depth"],
-            params["min_samples_leaf"],
-            params["random_state"],
-        )
-    if name == "random_forest":
-        return {
-            k: fit_forest(
-                train_rows(k),
-                features,
-                target,
-                params["n_estimators"],
-                params["max_depth"],
-                params["min_samples_leaf"],
-                params["max_features"],
-                params["random_state"],
-            )
-            for k in held_out
-        }
+        size = params["n_estimators"], params["max_depth"], params["min_samples_leaf"]
+        if name == "random_forest":
+            share, seed = params["max_features"], params["random_state"]
+            return fit_forests(df, features, target, medians, *size, share, seed)
+        if params["max_features"] != 1.0:
+            raise ValueError("extra_trees looks at all features of a node")
+        return fit_extra_trees(df, features, target, medians, *size, params["random_state"])
     if name == "ridge_cv":
         return {k: fit_ridge(train_rows(k), features, target, params["alphas"]) for k in held_out}
     raise ValueError(f"unknown model {name!r}; choose from {model_names()}")
