@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 
 from riskspark.llm import textbytes as tb
 from riskspark.llm.graph import without_ids
+from riskspark.llm.runtime import released
 from riskspark.session import materialize
 
 #: Positions that count (1) and that may differ (0).
@@ -162,7 +163,7 @@ def _pass(docs: DataFrame, items: list, rules: LeakRules) -> DataFrame:
                     [pa.array(c, pa.int64()) for c in zip(*rows, strict=True)], schema=_SCHEMA
                 )
 
-    return docs.mapInArrow(run, ", ".join(f"{name} long" for name in _SCHEMA.names))
+    return docs.mapInArrow(released(run), ", ".join(f"{name} long" for name in _SCHEMA.names))
 
 
 def _blocks(benchmark: DataFrame, rules: LeakRules) -> Iterator[list]:

@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 
 from riskspark.llm import textbytes as tb
 from riskspark.llm.graph import components, with_ids, without_ids
+from riskspark.llm.runtime import released
 from riskspark.session import materialize
 
 _MULTIPLY = (tb.mix(np.arange(1, 4097, dtype=np.uint64)) >> np.uint64(32)).astype(np.uint32) | 1
@@ -118,7 +119,7 @@ def signatures(docs: DataFrame, rules: NearRules) -> DataFrame:
                 )
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
-        run, "doc_id long, n_shingles long, set_a long, set_b long, sig binary"
+        released(run), "doc_id long, n_shingles long, set_a long, set_b long, sig binary"
     )
 
 
@@ -149,7 +150,7 @@ def band_rows(classes: DataFrame, rules: NearRules) -> DataFrame:
                     names=["key", "doc"],
                 )
 
-    return classes.select("doc", "sig").mapInArrow(run, "key long, doc long")
+    return classes.select("doc", "sig").mapInArrow(released(run), "key long, doc long")
 
 
 def _survivors(a: np.ndarray, b: np.ndarray, rules: NearRules) -> np.ndarray:
@@ -177,7 +178,7 @@ def prune(pairs: DataFrame, classes: DataFrame, rules: NearRules) -> DataFrame:
         pairs.select("a", "b")
         .join(sigs.select(F.col("doc").alias("a"), F.col("sig").alias("sig_a")), "a")
         .join(sigs.select(F.col("doc").alias("b"), F.col("sig").alias("sig_b")), "b")
-        .mapInArrow(run, "a long, b long")
+        .mapInArrow(released(run), "a long, b long")
     )
 
 
@@ -201,7 +202,7 @@ def verify(pairs: DataFrame, texts: DataFrame, rules: NearRules) -> DataFrame:
         pairs.select("a", "b")
         .join(texts.select(F.col("doc").alias("a"), F.col("text").alias("text_a")), "a")
         .join(texts.select(F.col("doc").alias("b"), F.col("text").alias("text_b")), "b")
-        .mapInArrow(run, "a long, b long")
+        .mapInArrow(released(run), "a long, b long")
     )
 
 
@@ -321,7 +322,7 @@ def cross_links(
         if held:
             yield from compare(_joined(held))
 
-    return ordered.mapInArrow(run, "a long, b long")
+    return ordered.mapInArrow(released(run), "a long, b long")
 
 
 def _joined(parts: list[pa.RecordBatch]) -> pa.RecordBatch:

@@ -1,10 +1,14 @@
 """Quality rules: rules on one document, and frequent lines across the documents of a host.
 
 A line is normalised (lower case, no blanks around it), hashed, and counted once for each distinct
-text of its host, so copies of one document count as one. Lines in more than ``max_line_docs``
-distinct texts of a host, and more than a share ``max_line_share`` of them, are removed; a document is depleted, and rejected, if less than
-``min_left`` of its characters remain. With ``groups`` of near copies, as in the pipeline, a group counts
-as one text wherever texts are counted, so near copies do not make their own lines frequent.
+text of its host. Lines in more than ``max_line_docs`` texts of a host are removed; a document is
+depleted, and rejected, if less than ``min_left`` of its characters remain. The limit is the same for
+hosts of every size.
+
+Near copies count as one text, so they do not make their own lines frequent. A text's five-word windows
+are hashed once, and the least hash of each of ``BINS`` ranges is kept; two ranges in a row that
+agree (in all of a few per cent of unrelated texts at most, in nearly all pairs that are 0.8
+similar) make a text a follower of the smallest one. Only texts that follow none are counted.
 
 Defined cases: a null text is an empty one, has no words and is rejected; a null host is a host of
 its own; rows that share a doc_id are copies and judged alike; an empty table gives an empty result; other columns pass
@@ -19,9 +23,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskspark.llm.expressions import SPACES, let, whole, words_of
+from riskspark.session import materialize
 
 SYMBOL = "[#*$%&|<>]"
 WINDOW = 5
+#: Ranges of window hashes, of which each gives its least one to a text's sketch.
+BINS = 32
+#: A window's hash is a sum of its words' digests (32 bits) times these, modulo a prime of 61 bits.
+FACTORS = (104_729_113, 152_041_247, 186_025_987, 220_000_049, 256_203_221)
+PRIME = (1 << 61) - 1
+_HALF = 1 << 31
+#: Lines, keys (some 60 bytes each) or sketches (300) up to this number are sent to every task.
+BROADCAST_LINES = 100_000
 
 
 @dataclass(frozen=True)
@@ -31,7 +44,6 @@ class QualityRules:
     min_words: int = 10
     max_repeat_percent: int = 20
     max_line_docs: int = 20
-    max_line_share: float = 0.01
     min_left: float = 0.1
 
 
@@ -134,6 +146,90 @@ def line_hash(line: Column) -> Column:
     return F.xxhash64(F.trim(F.lower(line), F.lit(SPACES)))
 
 
+def _digest(text: Column, digits: int) -> Column:
+    """The first hexadecimal digits of the MD5 digest as a number, alike in other engines."""
+    return F.conv(F.substring(F.md5(text), 1, digits), 16, 10).cast("long")
+
+
+def text_hash(text: Column) -> Column:
+    return _digest(text, 15)
+
+
+def sketch(text: Column) -> Column:
+    """The least window hash of each range, in order; none for under five words."""
+
+    def hashes(numbers: Column) -> Column:
+        return F.transform(
+            F.slice(numbers, F.lit(1), F.size(numbers) - (WINDOW - 1)),
+            lambda first, i: (
+                first * FACTORS[0] + sum(F.get(numbers, i + k) * FACTORS[k] for k in range(1, WINDOW))
+            ) % PRIME,
+        )
+
+    def bin_of(h: Column) -> Column:
+        return F.shiftright(h, 61 - BINS.bit_length() + 1)
+
+    def least(ordered: Column) -> Column:
+        return F.filter(
+            ordered, lambda h, i: (i == 0) | (bin_of(h) != bin_of(F.get(ordered, i - 1)))
+        )
+
+    def of_words(words: Column) -> Column:
+        numbers = F.transform(words, lambda w: _digest(w, 8))
+        found = let(numbers, lambda x: let(F.sort_array(hashes(x)), least))
+        return F.when(F.size(words) >= WINDOW, found)
+
+    none = F.array().cast("array<bigint>")
+    return F.coalesce(let(words_of(text), of_words), none)
+
+
+def _keys(first: Column) -> Column:
+    """A key for each two neighbours of a sketch, the last and the first included."""
+    return F.transform(
+        first,
+        lambda h, i: (h % _HALF) * _HALF + F.coalesce(F.get(first, i + 1), F.get(first, F.lit(0))) % _HALF,
+    )
+
+
+def followers(docs: DataFrame) -> DataFrame:
+    """``host, no_host, text_hash`` of texts with a near copy of a smaller hash in their host."""
+    text, host = whole("text"), ["host", "no_host"]
+    texts = materialize(
+        docs.select(*_host(), text_hash(text).alias("text_hash"), sketch(text).alias("sketch"))
+        .dropDuplicates([*host, "text_hash"]),
+        "sketches",
+    )
+    rows = texts.select(*host, "text_hash", F.explode(_keys(F.col("sketch"))).alias("key"))
+    shared = (
+        rows.groupBy(*host, "key")
+        .agg(F.min("text_hash").alias("first"), F.max("text_hash").alias("last"))
+        .where(F.col("first") < F.col("last"))
+        .drop("last")
+    )
+    pairs = (
+        rows.join(_sent(materialize(shared, "shared-keys")), [*host, "key"])
+        .where(F.col("text_hash") > F.col("first"))
+        .select(*host, "text_hash", "first")
+        .distinct()
+    )
+    firsts = texts.select(*host, F.col("text_hash").alias("first"), F.col("sketch").alias("other")).join(
+        shared.select(*host, "first").distinct(), [*host, "first"], "left_semi"
+    )
+    agree = 2 * F.size(F.array_intersect("sketch", "other"))
+    return (
+        pairs.join(texts, [*host, "text_hash"])
+        .join(_sent(materialize(firsts, "first-sketches")), [*host, "first"])
+        .where(agree >= F.greatest(F.size("sketch"), F.size("other")))
+        .select(*host, "text_hash")
+        .distinct()
+    )
+
+
+def _sent(stored: DataFrame) -> DataFrame:
+    """A stored table that goes to every task if it has few rows, and is shuffled otherwise."""
+    return F.broadcast(stored) if stored.count() <= BROADCAST_LINES else stored
+
+
 def _host() -> tuple[Column, Column]:
     return (
         F.coalesce(F.col("source").cast("string"), F.lit("")).alias("host"),
@@ -153,7 +249,7 @@ def _lines(docs: DataFrame) -> DataFrame:
     return docs.select(
         "doc_id",
         *_host(),
-        F.xxhash64(text).alias("text_hash"),
+        text_hash(text).alias("text_hash"),
         F.length(text).alias("text_chars"),
         hashed.alias("lines"),
     ).select("*", F.posexplode("lines").alias("place", "line")).select(
@@ -162,75 +258,27 @@ def _lines(docs: DataFrame) -> DataFrame:
     )
 
 
-def near_groups(docs: DataFrame, near: DataFrame) -> DataFrame:
-    """``text_hash, group`` of the texts that have near copies.
-
-    ``near`` has ``doc_id, n_shingles, component_id``; texts without shingles have no near copies.
-    """
-    texts = docs.where("doc_id is not null").select(
-        F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(whole("text")).alias("text_hash")
-    )
-    of_text = (
-        near.where("doc_id is not null and n_shingles > 0")
-        .select("doc_id", "component_id")
-        .distinct()
-        .join(texts.distinct(), "doc_id")
-        .groupBy("text_hash")
-        .agg(F.min("component_id").alias("component_id"))
-    )
-    shared = of_text.groupBy("component_id").count().where(F.col("count") > 1)
-    return of_text.join(shared, "component_id").select(
-        "text_hash", F.xxhash64(F.lit("group"), "component_id").alias("group")
-    )
-
-
-def _collapsed(texts: DataFrame, groups: DataFrame | None) -> DataFrame:
-    """Rows with near copies as one text."""
-    if groups is None:
-        return texts.distinct()
-    known = texts.distinct().join(groups, "text_hash", "left")
-    return known.withColumn("text_hash", F.coalesce("group", "text_hash")).drop("group").distinct()
+def frequent_lines(docs: DataFrame, rules: QualityRules = QualityRules()) -> DataFrame:
+    """``host, no_host, line_hash, n_docs`` of lines in too many distinct texts of a host."""
+    line = ["host", "no_host", "line_hash"]
 
+    def often(lines: DataFrame) -> DataFrame:
+        counted = lines.groupBy(*line).agg(F.count(F.lit(1)).alias("n_docs"))
+        return counted.where(F.col("n_docs") > rules.max_line_docs)
 
-def frequent_lines(
-    docs: DataFrame, rules: QualityRules = QualityRules(), groups: DataFrame | None = None
-) -> DataFrame:
-    """``host, no_host, line_hash, n_docs`` of lines in too many distinct texts of a host."""
-    hosts = (
-        _collapsed(docs.select(*_host(), F.xxhash64(whole("text")).alias("text_hash")), groups)
-        .groupBy("host", "no_host")
-        .agg(F.count(F.lit(1)).alias("n_texts"))
-    )
-    lines = _lines(docs).select("host", "no_host", "line_hash", "text_hash")
-    if groups is not None:
-        # Only lines in enough texts can be in enough groups.
-        many = (
-            lines.distinct()
-            .groupBy("host", "no_host", "line_hash")
-            .agg(F.count(F.lit(1)).alias("n_docs"))
-            .where(F.col("n_docs") > rules.max_line_docs)
-            .drop("n_docs")
-        )
-        lines = lines.join(many, ["host", "no_host", "line_hash"], "left_semi")
-    return (
-        _collapsed(lines, groups)
-        .groupBy("host", "no_host", "line_hash")
-        .agg(F.count(F.lit(1)).alias("n_docs"))
-        .where(F.col("n_docs") > rules.max_line_docs)
-        .join(hosts, ["host", "no_host"])
-        .where(F.col("n_docs") > rules.max_line_share * F.col("n_texts"))
-        .drop("n_texts")
-    )
+    lines = _lines(docs).select(*line, "text_hash").distinct()
+    many = _sent(materialize(often(lines).drop("n_docs"), "candidate-lines"))
+    # Only lines in enough texts can be in enough texts that follow none.
+    left = lines.join(many, line, "left_semi")
+    return often(left.join(followers(docs), ["host", "no_host", "text_hash"], "left_anti"))
 
 
-def removed_lines(
-    docs: DataFrame, rules: QualityRules = QualityRules(), groups: DataFrame | None = None
-) -> DataFrame:
+def removed_lines(docs: DataFrame, rules: QualityRules = QualityRules()) -> DataFrame:
     """A row for each document that loses lines: their hashes, number and characters."""
-    lines = _lines(docs).drop("text_hash")
+    frequent = _sent(materialize(frequent_lines(docs, rules).drop("n_docs"), "frequent-lines"))
     return (
-        lines.join(frequent_lines(docs, rules, groups), ["host", "no_host", "line_hash"])
-        .drop("n_docs")
+        _lines(docs).drop("text_hash")
+        .join(frequent, ["host", "no_host", "line_hash"])
         .distinct()  # rows that share a doc_id are copies
         .groupBy("doc_id")
         .agg(
@@ -263,14 +311,12 @@ def quality(docs: DataFrame, rules: QualityRules = QualityRules()) -> DataFrame:
     )
 
 
-def clean_documents(
-    docs: DataFrame, rules: QualityRules = QualityRules(), groups: DataFrame | None = None
-) -> DataFrame:
+def clean_documents(docs: DataFrame, rules: QualityRules = QualityRules()) -> DataFrame:
     """The kept documents without their frequent lines, in the columns of ``docs``.
 
     Texts that lose nothing stay byte for byte; ``n_chars`` follows a changed text.
     """
-    gone = removed_lines(docs, rules, groups).select(
+    gone = removed_lines(docs, rules).select(
         F.col("doc_id").alias("__quality_id"),
         F.col("line_hashes").alias("__quality_hashes"),
         _depleted(F.col("n_chars_removed"), F.col("text_chars"), rules).alias("__quality_low"),
@@ -307,9 +353,10 @@ def clean_documents(
     return joined.select(*out)
 
 
+_WINDOW_SQL = " + ".join(f"ns[i + {k}] * {f}" for k, f in enumerate(FACTORS))
 ORACLE = r"""
 WITH d AS (SELECT doc_id, source, coalesce(text, '') AS text FROM documents),
-w AS (SELECT doc_id, source, text, hash(text) AS th,
+w AS (SELECT doc_id, source, text, CAST('0x' || substr(md5(text), 1, 15) AS BIGINT) AS th,
         regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words, string_split(text, chr(10)) AS ls FROM d),
 c AS (SELECT doc_id, len(words) AS n_words, length(array_to_string(words, '')) AS word_chars,
         length(text) - length(translate(text, '#*$%&|<>', '')) AS n_symbols,
@@ -323,9 +370,22 @@ ln AS (SELECT doc_id, source, th, length(text) AS tc, unnest(ls) AS line FROM w)
 nl AS (SELECT doc_id, source, th, tc, length(line) AS lc,
         trim(lower(line), chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS norm
        FROM ln WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
-ht AS (SELECT source, count(DISTINCT th) AS n_texts FROM w GROUP BY source),
-f AS (SELECT q.source, norm FROM (SELECT source, norm, count(DISTINCT th) AS n FROM nl GROUP BY source, norm) q
-       JOIN ht ON q.source IS NOT DISTINCT FROM ht.source WHERE n > 20 AND n > 0.01 * n_texts),
+sw AS (SELECT coalesce(source, '') AS host, source IS NULL AS no_host, th, any_value(list_transform(words,
+        lambda x: CAST('0x' || substr(md5(x), 1, 8) AS BIGINT))) AS ns FROM w WHERE len(words) >= 5 GROUP BY ALL),
+sh AS (SELECT host, no_host, th, unnest(list_transform(range(1, len(ns) - 3), lambda i: (@WINDOW@) % @PRIME@)) AS g FROM sw),
+sb AS (SELECT host, no_host, th, min(g) AS g FROM sh GROUP BY host, no_host, th, g >> @SHIFT@),
+sk AS (SELECT host, no_host, th, (g % @HALF@) * @HALF@ + coalesce(lead(g) OVER o, first_value(g) OVER o) % @HALF@ AS key
+       FROM sb WINDOW o AS (PARTITION BY host, no_host, th ORDER BY g ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)),
+sf AS (SELECT host, no_host, key, min(th) AS first FROM sk GROUP BY ALL),
+cd AS (SELECT DISTINCT host, no_host, th, first FROM sk JOIN sf USING (host, no_host, key) WHERE th > first),
+sn AS (SELECT host, no_host, th, count(*) AS n FROM sb GROUP BY ALL),
+eq AS (SELECT host, no_host, cd.th, first, count(*) AS k FROM cd JOIN sb a USING (host, no_host, th)
+       JOIN sb b USING (host, no_host, g) WHERE b.th = first GROUP BY ALL),
+fo AS (SELECT DISTINCT host, no_host, eq.th FROM eq JOIN sn x USING (host, no_host, th)
+       JOIN sn y USING (host, no_host) WHERE y.th = first AND 2 * k >= greatest(x.n, y.n)),
+f AS (SELECT nl.source, norm FROM nl ANTI JOIN fo
+       ON fo.host = coalesce(nl.source, '') AND fo.no_host = (nl.source IS NULL) AND fo.th = nl.th
+       GROUP BY nl.source, norm HAVING count(DISTINCT th) > 20),
 t AS (SELECT doc_id, count(*) AS nr, sum(lc) AS lr, max(tc) AS tc FROM nl JOIN f
        ON nl.source IS NOT DISTINCT FROM f.source AND nl.norm = f.norm GROUP BY doc_id),
 x AS (SELECT c.doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars,
@@ -336,4 +396,6 @@ x AS (SELECT c.doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BI
         coalesce(tc - lr < 0.1 * tc, false) AS depleted
        FROM c LEFT JOIN r USING (doc_id) LEFT JOIN t USING (doc_id))
 SELECT *, (NOT base_failed AND NOT depleted) AS kept FROM x
-"""
+""".replace("@WINDOW@", _WINDOW_SQL).replace("@PRIME@", str(PRIME)).replace("@HALF@", str(_HALF)).replace(
+    "@SHIFT@", str(61 - BINS.bit_length() + 1)
+)

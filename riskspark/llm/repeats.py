@@ -34,6 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskspark.llm import textbytes as tb
+from riskspark.llm.runtime import released
 from riskspark.session import materialize
 
 _LOW = np.uint64(0xFFFFFFFF)
@@ -165,7 +166,7 @@ def _seed_rows(docs: DataFrame, rules: RepeatRules) -> DataFrame:
             )
 
     return docs.where("doc_id is not null").mapInArrow(
-        run, "seed long, whole long, doc long, known boolean"
+        released(run), "seed long, whole long, doc long, known boolean"
     )
 
 
@@ -224,7 +225,7 @@ def _marks(rows: DataFrame) -> DataFrame:
                 names=["doc", "whole", "open"],
             )
 
-    return rows.mapInArrow(run, "doc long, whole long, open boolean")
+    return rows.mapInArrow(released(run), "doc long, whole long, open boolean")
 
 
 def _contexts(texts: DataFrame, rules: RepeatRules) -> DataFrame:
@@ -259,7 +260,7 @@ def _contexts(texts: DataFrame, rules: RepeatRules) -> DataFrame:
                     names=["seed", "doc", "start", "stop", "context"],
                 )
 
-    return texts.mapInArrow(run, schema)
+    return texts.mapInArrow(released(run), schema)
 
 
 def _marked(marks: pa.Array, found: Runs) -> tuple[np.ndarray, np.ndarray]:
@@ -313,7 +314,7 @@ def _windows(rows: DataFrame, rules: RepeatRules) -> DataFrame:
                     names=["seed", "part", "doc", "start", "stop"],
                 )
 
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(released(run), schema)
 
 
 def _bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -356,7 +357,7 @@ def _repeated_spans(rows: DataFrame, rules: RepeatRules) -> DataFrame:
                 [pa.array(doc), pa.array(start), pa.array(reach)], names=["doc", "start", "stop"]
             )
 
-    return rows.mapInArrow(run, "doc long, start long, stop long")
+    return rows.mapInArrow(released(run), "doc long, start long, stop long")
 
 
 def repeated_spans(docs: DataFrame, rules: RepeatRules = RepeatRules()) -> tuple[DataFrame, DataFrame]:
@@ -435,7 +436,7 @@ def repeats(docs: DataFrame, rules: RepeatRules = RepeatRules()) -> DataFrame:
             yield pa.RecordBatch.from_pylist(rows, schema=_REPEATS)
 
     joined = texts.join(spans, F.col("doc_id") == F.col("doc"), "left")
-    return joined.select("doc_id", "text", "spans").mapInArrow(run, schema)
+    return joined.select("doc_id", "text", "spans").mapInArrow(released(run), schema)
 
 
 def without_repeats(docs: DataFrame, rules: RepeatRules = RepeatRules()) -> DataFrame:
@@ -474,7 +475,7 @@ def without_repeats(docs: DataFrame, rules: RepeatRules = RepeatRules()) -> Data
                 out.append(column)
             yield pa.RecordBatch.from_arrays(out, names=plain)
 
-    return joined.mapInArrow(run, renamed.schema).toDF(*names)
+    return joined.mapInArrow(released(run), renamed.schema).toDF(*names)
 
 
 _SPANS = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))

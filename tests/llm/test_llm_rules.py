@@ -74,14 +74,40 @@ def test_frequent_lines(spark):
     assert all(r["n_lines_removed"] == got[r["doc_id"]]["n_lines_removed"] for r in judged)
 
 
-def test_a_small_share_of_a_host_is_no_boilerplate(spark):
-    texts = [f"a line that some share\nown words of number {i}" for i in range(8)]
-    texts += [f"other words of number {i}" for i in range(32)]
+@pytest.mark.parametrize("others", [0, 1500])
+def test_a_banner_goes_from_hosts_of_every_size(spark, others):
+    """25 different texts with one banner; the host's other texts don't matter."""
+    pick = random.Random(4)
+
+    def prose(i, n):
+        return " ".join(f"{pick.choice('abcdefgh')}{pick.randrange(9000)}" for _ in range(n)) + f" {i}"
+
+    texts = [f"accept all cookies here\n{prose(i, 40)}" for i in range(25)]
+    texts += [f"only a few texts have this line\n{prose(i, 40)}" for i in range(20)]
+    texts += [prose(i, 12) for i in range(others)]
+    rows = {r["doc_id"]: r for r in quality.quality(frame(spark, texts)).collect()}
+    assert [rows[i]["n_lines_removed"] for i in range(45)] == [1] * 25 + [0] * 20
+    assert all(rows[i]["kept"] for i in range(45))
+
+
+def test_near_copies_do_not_make_their_lines_frequent(spark):
+    """A group of 120 near copies keeps its lines, a banner they share with others goes."""
+    pick = random.Random(9)
+    lines = [[f"{pick.choice('abcdefgh')}{pick.randrange(9000)}" for _ in range(12)] for _ in range(12)]
+    texts = []
+    for _ in range(120):
+        copy = [list(line) for line in lines]
+        for _ in range(pick.randrange(1, 4)):
+            copy[pick.randrange(12)][pick.randrange(12)] = f"z{pick.randrange(9999)}"
+        texts.append("subscribe to our letter\n" + "\n".join(" ".join(line) for line in copy))
+    for _ in range(30):
+        own = " ".join(f"{pick.choice('abcdefgh')}{pick.randrange(9000)}" for _ in range(50))
+        texts.append("subscribe to our letter\n" + own)
     docs = frame(spark, texts)
-    for share, removed in ((0.1, 8), (0.2, 0)):
-        rules = quality.QualityRules(max_line_docs=5, max_line_share=share, min_words=1)
-        rows = quality.quality(docs, rules).collect()
-        assert sum(r["n_lines_removed"] for r in rows) == removed
+    rows = quality.quality(docs).collect()
+    assert [r["n_lines_removed"] for r in sorted(rows, key=lambda r: r["doc_id"])] == [1] * 150
+    clean = {r["doc_id"]: r["text"] for r in quality.clean_documents(docs).collect()}
+    assert clean == {i: t.split("\n", 1)[1] for i, t in enumerate(texts)}
 
 
 def test_copies_do_not_make_a_line_frequent(spark):
