@@ -17,13 +17,10 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 def rule_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejected documents go; the others lose their frequent lines.
 
-    Near copies count as one text, so near-dedup still finds one of each group; with that, the
-    limit of texts is the same in hosts of every size.
+    Null texts are rejected, repeated rows are judged alike, an empty table stays empty.
     """
     prepare(spark)
-    judged = materialize(near.near_duplicates(docs), "near-groups")
-    groups = materialize(quality.near_groups(docs, judged), "quality-groups")
-    return quality.clean_documents(docs, quality.QualityRules(max_line_share=0.0), groups)
+    return quality.clean_documents(docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
