@@ -22,6 +22,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from riskspark.llm.checksums import crc32_sql
 from riskspark.llm.expressions import SPACES, let, whole, words_of
 from riskspark.session import materialize
 
@@ -29,7 +30,7 @@ SYMBOL = "[#*$%&|<>]"
 WINDOW = 5
 #: Ranges of window hashes, of which each gives its least one to a text's sketch.
 BINS = 32
-#: A window's hash is a sum of its words' digests (32 bits) times these, modulo a prime of 61 bits.
+#: A window's hash is a sum of its words' CRC-32 times these, modulo a prime of 61 bits.
 FACTORS = (104_729_113, 152_041_247, 186_025_987, 220_000_049, 256_203_221)
 PRIME = (1 << 61) - 1
 _HALF = 1 << 31
@@ -146,13 +147,9 @@ def line_hash(line: Column) -> Column:
     return F.xxhash64(F.trim(F.lower(line), F.lit(SPACES)))
 
 
-def _digest(text: Column, digits: int) -> Column:
-    """The first hexadecimal digits of the MD5 digest as a number, alike in other engines."""
-    return F.conv(F.substring(F.md5(text), 1, digits), 16, 10).cast("long")
-
-
 def text_hash(text: Column) -> Column:
-    return _digest(text, 15)
+    """The first 15 hexadecimal digits of the MD5 digest as a number, alike in other engines."""
+    return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("long")
 
 
 def sketch(text: Column) -> Column:
@@ -175,7 +172,7 @@ def sketch(text: Column) -> Column:
         )
 
     def of_words(words: Column) -> Column:
-        numbers = F.transform(words, lambda w: _digest(w, 8))
+        numbers = F.transform(words, lambda w: F.crc32(w.cast("binary")))
         found = let(numbers, lambda x: let(F.sort_array(hashes(x)), least))
         return F.when(F.size(words) >= WINDOW, found)
 
@@ -258,26 +255,31 @@ def _lines(docs: DataFrame) -> DataFrame:
     )
 
 
-def frequent_lines(docs: DataFrame, rules: QualityRules = QualityRules()) -> DataFrame:
-    """``host, no_host, line_hash, n_docs`` of lines in too many distinct texts of a host."""
+def frequent_lines(docs: DataFrame, stored: DataFrame, rules: QualityRules) -> DataFrame:
+    """``host, no_host, line_hash`` of lines in too many distinct texts of a host.
+
+    ``stored`` has the lines of ``docs``.
+    """
     line = ["host", "no_host", "line_hash"]
 
     def often(lines: DataFrame) -> DataFrame:
         counted = lines.groupBy(*line).agg(F.count(F.lit(1)).alias("n_docs"))
         return counted.where(F.col("n_docs") > rules.max_line_docs)
 
-    lines = _lines(docs).select(*line, "text_hash").distinct()
+    lines = stored.select(*line, "text_hash").distinct()
     many = _sent(materialize(often(lines).drop("n_docs"), "candidate-lines"))
     # Only lines in enough texts can be in enough texts that follow none.
     left = lines.join(many, line, "left_semi")
-    return often(left.join(followers(docs), ["host", "no_host", "text_hash"], "left_anti"))
+    counted = often(left.join(followers(docs), ["host", "no_host", "text_hash"], "left_anti"))
+    return counted.drop("n_docs")
 
 
 def removed_lines(docs: DataFrame, rules: QualityRules = QualityRules()) -> DataFrame:
     """A row for each document that loses lines: their hashes, number and characters."""
-    frequent = _sent(materialize(frequent_lines(docs, rules).drop("n_docs"), "frequent-lines"))
+    lines = materialize(_lines(docs), "lines")
+    frequent = _sent(materialize(frequent_lines(docs, lines, rules), "frequent-lines"))
     return (
-        _lines(docs).drop("text_hash")
+        lines.drop("text_hash")
         .join(frequent, ["host", "no_host", "line_hash"])
         .distinct()  # rows that share a doc_id are copies
         .groupBy("doc_id")
@@ -371,7 +373,7 @@ nl AS (SELECT doc_id, source, th, tc, length(line) AS lc,
         trim(lower(line), chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS norm
        FROM ln WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
 sw AS (SELECT coalesce(source, '') AS host, source IS NULL AS no_host, th, any_value(list_transform(words,
-        lambda x: CAST('0x' || substr(md5(x), 1, 8) AS BIGINT))) AS ns FROM w WHERE len(words) >= 5 GROUP BY ALL),
+        lambda x: @CRC@)) AS ns FROM w WHERE len(words) >= 5 GROUP BY ALL),
 sh AS (SELECT host, no_host, th, unnest(list_transform(range(1, len(ns) - 3), lambda i: (@WINDOW@) % @PRIME@)) AS g FROM sw),
 sb AS (SELECT host, no_host, th, min(g) AS g FROM sh GROUP BY host, no_host, th, g >> @SHIFT@),
 sk AS (SELECT host, no_host, th, (g % @HALF@) * @HALF@ + coalesce(lead(g) OVER o, first_value(g) OVER o) % @HALF@ AS key
@@ -396,6 +398,6 @@ x AS (SELECT c.doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BI
         coalesce(tc - lr < 0.1 * tc, false) AS depleted
        FROM c LEFT JOIN r USING (doc_id) LEFT JOIN t USING (doc_id))
 SELECT *, (NOT base_failed AND NOT depleted) AS kept FROM x
-""".replace("@WINDOW@", _WINDOW_SQL).replace("@PRIME@", str(PRIME)).replace("@HALF@", str(_HALF)).replace(
+""".replace("@WINDOW@", _WINDOW_SQL).replace("@CRC@", crc32_sql("x")).replace("@PRIME@", str(PRIME)).replace("@HALF@", str(_HALF)).replace(
     "@SHIFT@", str(61 - BINS.bit_length() + 1)
 )
