@@ -12,9 +12,8 @@ history, never a whole conversation.
 
 Defined cases: null roles and texts are empty; turns are taken by ``turn`` (nulls first), ties by
 role and text, repeated rows as repeated turns; rows without a conv_id are one conversation; a turn
-beyond the budget is a window of its own; only a first turn of role ``system`` is retained; with
-``always_system``, as in the query, whatever its length (a window over the budget shows in
-``n_tokens``), else not if it alone takes half of the budget; an empty table gives an empty result; other columns are
+beyond the budget is a window of its own; only a first turn of role ``system`` is retained, whatever
+its length (a window over the budget shows in ``n_tokens``); an empty table gives an empty result; other columns are
 ignored.
 """
 
@@ -39,11 +38,10 @@ _ESCAPED = re.compile(r"([<\[]\\*)\\" + _TAIL)
 
 @dataclass(frozen=True)
 class ChatRules:
-    """Tokens of a window, of the history repeated in it, and if long system turns stay too."""
+    """Tokens of a window and of the history repeated in it."""
 
     budget: int = 1024
     history: int = 256
-    always_system: bool = False
 
 
 def escape(text: str) -> str:
@@ -126,8 +124,7 @@ def _next_window(state: dict, rules: ChatRules, last: bool) -> dict | None:
         "window": state["n"], "n_context": len(context), "n_new": n_new,
         "n_tokens": used + prefix[n_new - 1], "text": text, "loss": loss,
     }
-    fits = rules.always_system or 2 * tokens_of(new[0][1]) < rules.budget
-    if state["n"] == 0 and new[0][0] == "system" and fits:
+    if state["n"] == 0 and new[0][0] == "system":
         state["system"], new = new[:1], new[1:]
     kept, size = [], 0
     for turn in reversed(past + new):

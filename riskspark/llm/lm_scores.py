@@ -1,9 +1,8 @@
 """Cross-entropy difference of two matched n-gram models.
 
 The target model learns from documents labelled good and not toxic, the background model from the
-others. With ``whole``, as in the query, words and bigrams of all documents are counted, and the
-background's counts are scaled down to the number of the target's words (matched sizes); without it,
-the background is as much text of the other documents, drawn by a hash. Both are bigram
+others. Words and bigrams of all documents are counted, and the background's counts are scaled down
+to the number of the target's words (matched sizes). Both are bigram
 models with absolute discounting over one vocabulary: the ``vocabulary`` most frequent words of what
 the two learn from, equally frequent ones by their hash; every other word is <unk>. Bigrams seen fewer than ``least`` times in both
 together back off. A document's score is its mean loss per word under the target model minus that
@@ -38,13 +37,12 @@ _BLOOM_BITS = 26
 
 @dataclass(frozen=True)
 class LmRules:
-    """Vocabulary, bigram cut-off, discount, bigrams sent to each task, and if all documents count."""
+    """Vocabulary, bigram cut-off, discount and bigrams sent to each task."""
 
     vocabulary: int = 200_000
     least: int = 3
     discount: float = 0.75
     head: int = 50_000
-    whole: bool = False
 
 
 def _training(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -70,15 +68,6 @@ def _training(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return joined.withColumn("target", F.col("good_id").isNotNull()).drop("good_id")
 
 
-def _matched(training: DataFrame) -> DataFrame:
-    """The targets, and a hashed share of the others with as many characters."""
-    sizes = training.groupBy("target").agg(F.sum(F.length("text")).alias("chars")).collect()
-    chars = {r["target"]: r["chars"] or 0 for r in sizes}
-    share = min(1.0, chars.get(True, 0) / max(1, chars.get(False, 0)))
-    drawn = F.pmod("hash", F.lit(1_000_000)) < F.lit(int(share * 1_000_000))
-    return training.where(F.col("target") | drawn).select("text", "target")
-
-
 def _counted(batches, keys_of):
     """Distinct keys of each part of the scan with their counts in target and background."""
     for batch in batches:
@@ -195,12 +184,12 @@ def _ratio(target, back):
 def models(training: DataFrame, rules: LmRules) -> tuple[Tables, DataFrame]:
     """The tables of the vocabulary's size, and ``key, value, n`` of the bigrams."""
     spark = training.sparkSession
-    rows = training.select("text", "target") if rules.whole else _matched(training)
+    rows = training.select("text", "target")
     counted = materialize(word_counts(rows), "words")
     counted = counted.withColumn("n", F.col("t") + F.col("b"))
     chosen = _columns(counted.where(in_top(counted, rules.vocabulary)).select("key", "t", "b"))
     n_target, n_back = (x or 0 for x in counted.agg(F.sum("t"), F.sum("b")).first())
-    scale = min(1.0, n_target / n_back) if rules.whole and n_back else 1.0
+    scale = min(1.0, n_target / n_back) if n_back else 1.0
     weights = {"t": 1.0, "b": scale}
     hashes = chosen["key"].view(np.uint64)
     order = np.argsort(hashes)

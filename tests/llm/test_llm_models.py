@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from riskspark.llm import lm_scores, mixing, queries, toxicity
+from riskspark.llm import lm_scores, mixing, toxicity
 
 FOLDER = "/root/testdata/sf0.01"
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, epoch string"
@@ -91,11 +91,7 @@ def test_mixture_of_nothing(spark):
 
 
 def _brute_scores(training, rules):
-    chars = Counter()
-    for r in training:
-        chars[r["target"]] += len(r["text"] or "")
-    share = int(min(1.0, chars[True] / max(1, chars[False])) * 1_000_000)
-    chosen = [r for r in training if r["target"] or r["hash"] % 1_000_000 < share]
+    chosen = training
     words = lambda t: (t or "").encode().lower().split()
     uni = [Counter(), Counter()]
     for r in chosen:
@@ -116,23 +112,24 @@ def _brute_scores(training, rules):
     size = len(known) + 1
     models = []
     for side in (0, 1):
+        scale = min(1.0, uni[0].total() / max(1, uni[1].total())) if side else 1.0
         counts, before, mass = Counter(), Counter(), Counter()
         for w, c in uni[side].items():
-            counts[w if w in known else b""] += c
+            counts[w if w in known else b""] += scale * c
         for (a, b), c in pairs[side].items():
-            before[a] += c
+            before[a] += scale * c
             if both[a, b] >= rules.least:
-                mass[a] += max(c - rules.discount, 0)
+                mass[a] += max(scale * c - rules.discount, 0)
         total = sum(counts.values())
 
-        def p(a, b, side=side, counts=counts, before=before, mass=mass, total=total):
+        def p(a, b, side=side, scale=scale, counts=counts, before=before, mass=mass, total=total):
             low = (counts[b] + 1) / (total + size)
             if a is None:
                 return low
             low *= max(1e-6, 1 - mass[a] / before[a]) if before[a] else 1.0
             if both[a, b] < rules.least:
                 return low
-            return max(pairs[side][a, b] - rules.discount, 0) / max(before[a], 1) + low
+            return max(scale * pairs[side][a, b] - rules.discount, 0) / max(before[a], 1) + low
 
         models.append(p)
     out = {}
@@ -208,7 +205,7 @@ def _whole_scores(training, rules):
     return out
 
 
-def test_every_document_counts(spark, monkeypatch):
+def test_every_document_counts(spark):
     pick = random.Random(4)
     rows = [
         (i, " ".join(pick.choice("abcd" if i < 8 else "cdefgh") for _ in range(30)), "s")
@@ -216,18 +213,13 @@ def test_every_document_counts(spark, monkeypatch):
     ] + [(90, None, "s")]
     docs = frame(spark, rows)
     labels = spark.createDataFrame([(i, 1, 0) for i in range(8)], "doc_id long, quality int, toxic int")
-    rules = lm_scores.LmRules(head=5, whole=True)
+    rules = lm_scores.LmRules(head=5)
     training = lm_scores._training(docs, labels).collect()
     expected = _whole_scores(training, rules)
     got = {r["doc_id"]: r["score"] for r in lm_scores.scores(docs, labels, rules).collect()}
     assert got == pytest.approx(expected, abs=1e-9)
     nobody = lm_scores.scores(docs, labels.limit(0), rules).collect()
     assert all(r["score"] == 0.0 for r in nobody)
-    # The query's rules are those.
-    seen = []
-    monkeypatch.setattr(lm_scores, "scores", lambda d, x, rules=lm_scores.LmRules(): seen.append(rules))
-    queries.op6_lm_scores(spark, FOLDER)
-    assert seen[0].whole
 
 
 def test_vocabulary_is_filled_from_equally_frequent_words(spark):
