@@ -151,24 +151,28 @@ def compared(source: str) -> str:
   vs AS (SELECT *, {DOSE} AS dose FROM vf),
   vd AS (SELECT site_id, scenario, scenario_seq, {half_up('greatest(dose, 0.0)', 4)} AS published,
            dose FROM vs),
-  vn AS MATERIALIZED (SELECT *, CASE WHEN dose IS NOT NULL THEN published END AS d4 FROM vd),
+  vn AS (SELECT *, CASE WHEN dose IS NOT NULL THEN published END AS d4 FROM vd),
+  vb AS (SELECT *, max(CASE WHEN scenario_seq = 0 THEN d4 END) OVER (PARTITION BY site_id) AS base FROM vn),
   result AS (
     SELECT v.site_id, v.scenario, v.d4 AS dose_rate_usv_h, {band(1, 'v.dose')} AS risk_level,
-      {half_up('v.d4 - b.d4', 4)} AS delta_vs_baseline_usv_h
-    FROM vn v JOIN vn b ON b.site_id = v.site_id AND b.scenario_seq = 0)"""
+      {half_up('v.d4 - v.base', 4)} AS delta_vs_baseline_usv_h
+    FROM vb v)"""
 
 
 def _variants(source: str = "sites") -> str:
-    selects = []
-    for seq, (name, overrides) in enumerate((("Baseline", {}), *SCENARIOS)):
-        changed = ", ".join(
-            f"CAST({overrides[n]} AS DOUBLE) AS {n}" if n in overrides else n
-            for n in S.BASE_COLUMNS
+    """One scan of the sites beside a list of the scenarios."""
+    names = ("Baseline", *(name for name, _ in SCENARIOS))
+    listed = ", ".join(f"({seq}, '{name}')" for seq, name in enumerate(names))
+    columns = []
+    for n in S.BASE_COLUMNS:
+        cases = "".join(
+            f" WHEN {seq} THEN CAST({overrides[n]} AS DOUBLE)"
+            for seq, (_, overrides) in enumerate(SCENARIOS, start=1)
+            if n in overrides
         )
-        selects.append(
-            f"SELECT site_id, '{name}' AS scenario, {seq} AS scenario_seq, {changed} FROM {source}"
-        )
-    return "variants AS (" + " UNION ALL ".join(selects) + ")"
+        columns.append(f"CASE scenario_seq{cases} ELSE {n} END AS {n}" if cases else n)
+    return f"""variants AS (SELECT site_id, scenario, scenario_seq, {', '.join(columns)}
+      FROM {source} CROSS JOIN (VALUES {listed}) AS listed(scenario_seq, scenario))"""
 
 
 def _request_variants() -> str:
@@ -371,8 +375,8 @@ def oracle_sql() -> dict[str, str]:
                   f'CAST({S.BASE_DEFAULTS[n]} AS DOUBLE) AS {n}' for n in LACKING)}) FROM sites),
             {_variants('lacking')}, {compared('variants')} SELECT * FROM result""",
         "scenario_request_quarantine": f"""WITH {SITES}, {REQUESTS}
-            SELECT event_id AS site_id, name AS scenario, 'unknown site' AS reason FROM requests
-            WHERE unknown = '' AND name <> '' AND event_id NOT IN (SELECT site_id FROM sites)""",
+            SELECT 2 * event_id AS site_id, name AS scenario, 'unknown site' AS reason FROM requests
+            WHERE unknown = '' AND name <> '' AND 2 * event_id NOT IN (SELECT site_id FROM sites)""",
         "export_roundtrip": f"""WITH {SITES}, {_variants()}, {compared('variants')}
             SELECT * FROM result""",
         "scenario_requests": f"""WITH {SITES}, {REQUESTS}, {_request_variants()},

@@ -201,9 +201,9 @@ def scenario_defaults(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def scenario_request_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Accepted requests for sites that don't exist."""
+    """Accepted requests for sites that don't exist; twice the event's id leads beyond the sites."""
     checked = cleaning.check_overrides(fixtures.scenario_requests(spark, sf_dir))
-    asked = checked.where("accepted").withColumn("site_id", c("event_id"))
+    asked = checked.where("accepted").withColumn("site_id", 2 * c("event_id"))
     lost = scenarios.requests_without_site(fixtures.sites(spark, sf_dir), asked)
     return lost.select("site_id", c("name").alias("scenario"), "reason")
 
