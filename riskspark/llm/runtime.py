@@ -15,10 +15,10 @@ _BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
 _ROW_GROUP = ("parquet.block.size", str(16 << 20))
 
 
-def prepare(spark: SparkSession) -> None:
-    """Ship the package, and keep what Python tasks get at once to 16 MB or one row."""
+def prepare(spark: SparkSession, batch: str = "16m") -> None:
+    """Ship the package, and keep what Python tasks get at once to ``batch`` bytes or one row."""
     ship_package(spark)
-    spark.conf.set(_BATCH, "16m")
+    spark.conf.set(_BATCH, batch)
     spark.conf.set(*_ROW_GROUP)
 
 
