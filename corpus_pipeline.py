@@ -11,6 +11,9 @@ from riskspark.llm.runtime import prepare
 from riskspark.session import materialize
 from riskspark.sources.tables import parquet_table
 
+#: Executors keep their heap from stage to stage, so Python tasks get less at once than in a query.
+BATCH = "4m"
+
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
@@ -19,31 +22,31 @@ def rule_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
     Null texts are rejected, repeated rows are judged alike, an empty table stays empty.
     """
-    prepare(spark)
+    prepare(spark, BATCH)
     return quality.clean_documents(docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates stays."""
-    prepare(spark)
+    prepare(spark, BATCH)
     return near.clean_documents(docs)
 
 
 def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Byte strings that an earlier document holds too are cut out."""
-    prepare(spark)
+    prepare(spark, BATCH)
     return repeats.without_repeats(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that overlap with the benchmark go."""
-    prepare(spark)
+    prepare(spark, BATCH)
     return decontaminate.clean_documents(docs, parquet_table(spark, sf_dir, "benchmark"))
 
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The draws of the mixture, by document, epoch and block."""
-    prepare(spark)
+    prepare(spark, BATCH)
     return mixing.mix(docs)
 
 
