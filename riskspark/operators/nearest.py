@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskspark.functions.geo import mercator_x, mercator_y, segment_distance
-from riskspark.operators.joins import BROADCAST_ROWS
+from riskspark.operators.joins import BROADCAST_ROWS, fits_broadcast
 from riskspark.session import materialize, spread_by
 
 c = F.col
@@ -117,7 +117,6 @@ def _box_bounds(side: float, x0: float, y0: float) -> tuple[Column, Column]:
 def nearest_distance_km(
     points: DataFrame,
     layer: DataFrame,
-    key: str = "site_id",
     out: str = "distance_to_water_km",
     lat: str = "latitude",
     lon: str = "longitude",
@@ -125,9 +124,9 @@ def nearest_distance_km(
     """Add the distance in km to the nearest layer feature, one row per point.
 
     Layer segments sit in the leaves of a grid tree whose crowded cells are
-    split further, so dense areas get small cells. Points walk down the tree
-    together, one join per level, and keep only cells that can still hold the
-    nearest segment. Without a layer or coordinates the distance is 0.
+    split further, so dense areas get small cells. The distinct places of the points
+    walk down the tree together, one join per level, and keep only cells that can
+    still hold the nearest segment. Without a layer or coordinates the distance is 0.
     """
     points = points.drop(out)
     segments = materialize(project_layer(layer), "segments")
@@ -141,27 +140,29 @@ def nearest_distance_km(
     side = max(ends[2] - x0, ends[3] - y0, 1.0)
     levels, pieces, n_pieces = _grow_tree(segments, x0, y0, side)
 
-    spread = spread_by(points, key)
+    placed = materialize(
+        points.withColumns({"_px": mercator_x(c(lon)), "_py": mercator_y(c(lat))}), "points"
+    )
+    somewhere = c("_px").isNotNull() & c("_py").isNotNull() & (F.abs("_py") < float("inf"))
+    # Points of one place share a walk, so the work goes by places, not by points.
+    places = placed.where(somewhere).select(c("_px").alias("px"), c("_py").alias("py")).distinct()
+    numbered = places.withColumn("place", F.monotonically_increasing_id())
+    spread = spread_by(materialize(numbered, "places"), "place")
     top = F.array(  # the cells below the root, FAN * FAN at most
         *(
             F.struct(*(F.lit(r[n]).cast(t).alias(n) for n, t in zip(CELL, ("int", "long", "long"))))
             for r in levels[0][0].collect()
         )
     )
-    front = (
-        spread.select(key, mercator_x(c(lon)).alias("px"), mercator_y(c(lat)).alias("py"))
-        .where("px is not null and py is not null and abs(py) < double('infinity')")
-        .select(key, "px", "py", F.inline(top))
-    )
     near, far = _box_bounds(side, x0, y0)
-    best = F.min("far").over(Window.partitionBy(key))
+    best = F.min("far").over(Window.partitionBy("place"))
 
     def prune(candidates: DataFrame) -> DataFrame:
         reach = candidates.withColumns({"near": near, "far": far}).withColumn("best", best)
         kept = reach.where(c("near") <= c("best") * (1 + 1e-9) + side * 1e-9)
-        return kept.select(key, "px", "py", *CELL)
+        return kept.select("place", "px", "py", *CELL)
 
-    front = prune(front)
+    front = prune(spread.select("place", "px", "py", F.inline(top)))
     for cells, parents in levels[1:]:
         kids = cells.groupBy(
             (c("level") - 1).alias("level"),
@@ -171,13 +172,17 @@ def nearest_distance_km(
         itself = F.array(F.struct(*CELL))
         front = prune(
             front.join(_small(kids, parents), CELL, "left").select(
-                key, "px", "py", F.inline(F.coalesce("kids", itself))
+                "place", "px", "py", F.inline(F.coalesce("kids", itself))
             )
         )
     distance = segment_distance(c("px"), c("py"), c("x1"), c("y1"), c("x2"), c("y2"))
     found = (
         front.join(_small(pieces, n_pieces), CELL)
-        .groupBy(key)
+        .groupBy("px", "py")
         .agg((F.min(distance) / 1000.0).alias(out))
     )
-    return spread.join(found, key, "left").withColumn(out, F.coalesce(out, F.lit(0.0)))
+    found = materialize(found.withColumnsRenamed({"px": "_px", "py": "_py"}), "distances")
+    if fits_broadcast(found):
+        found = F.broadcast(found)
+    joined = placed.join(found, ["_px", "_py"], "left").withColumn(out, F.coalesce(out, F.lit(0.0)))
+    return joined.drop("_px", "_py")

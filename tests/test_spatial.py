@@ -233,3 +233,24 @@ def test_rows_without_coordinates_are_set_aside(spark):
     assert [r["site_id"] for r in located.collect()] == [1]
     assert sorted(r["site_id"] for r in rest.collect()) == [2, 3, 4]
     assert folds.with_blocks(located).first()["block"] == "0_0"
+
+
+def test_points_of_one_place_share_a_walk(spark, monkeypatch):
+    kept = {}
+    stored = nearest.materialize
+
+    def watched(df, name, *args):
+        kept[name] = stored(df, name, *args)
+        return kept[name]
+
+    monkeypatch.setattr(nearest, "materialize", watched)
+    spots = [(i, 50.0 + i % 3, 10.0 + i % 2) for i in range(600)] + [(600, None, 1.0)]
+    points = spark.createDataFrame(spots, "site_id long, latitude double, longitude double")
+    layer = spark.createDataFrame(
+        [(50.0, 10.0, 50.5, 10.5), (52.0, 11.0, 52.0, 12.0)], "lat1 double, lon1 double, lat2 double, lon2 double"
+    )
+    found = {r["site_id"]: r["distance_to_water_km"] for r in nearest.nearest_distance_km(points, layer).collect()}
+    assert kept["places"].count() == 6
+    assert len(found) == 601 and found[600] == 0.0
+    assert found[0] == pytest.approx(0.0, abs=1e-6) and found[5] == pytest.approx(0.0, abs=1e-6)
+    assert all(found[i] == found[i % 6] for i in range(600)) and found[1] > 0
